@@ -101,18 +101,21 @@ def with_context(
     prev: dict[str, Column] | None = None,
     next: dict[str, Column] | None = None,
     carry: dict[str, Column] | None = None,
+    total: dict[str, Column] | None = None,
 ) -> Ordered:
     """Add values that depend on the other rows of the group.
 
     ``running``: sum up to and including the row.  ``prev`` / ``next``: value on the neighbour row,
     NULL at the ends of the group.  ``carry``: last non-NULL value at or before the row.
+    ``total``: sum over the whole group.
     """
-    running, prev, next, carry = running or {}, prev or {}, next or {}, carry or {}
+    running, prev, next, carry, total = running or {}, prev or {}, next or {}, carry or {}, total or {}
     so_far = data.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = {name: F.sum(value).over(so_far) for name, value in running.items()}
     local |= {name: F.lag(value).over(data.window) for name, value in prev.items()}
     local |= {name: F.lead(value).over(data.window) for name, value in next.items()}
     local |= {name: F.last(value, ignorenulls=True).over(so_far) for name, value in carry.items()}
+    local |= {name: F.sum(value).over(Window.partitionBy(*data.part)) for name, value in total.items()}
     rows = data.rows.withColumns(local)
     if not data.sliced:
         return data.with_rows(rows)
@@ -127,6 +130,7 @@ def with_context(
             *(F.max_by(v, position).alias(f"_{n}") for n, v in prev.items()),
             *(F.min_by(v, position).alias(f"_{n}") for n, v in next.items()),
             *(F.max_by(v, F.when(v.isNotNull(), position)).alias(f"_{n}") for n, v in carry.items()),
+            *(F.sum(v).alias(f"_{n}") for n, v in total.items()),
         )
     )
     slices = Window.partitionBy(*data.keys).orderBy("slice")
@@ -135,6 +139,7 @@ def with_context(
     border |= {f"_{n}": F.lag(f"_{n}").over(slices) for n in prev}
     border |= {f"_{n}": F.lead(f"_{n}").over(slices) for n in next}
     border |= {f"_{n}": F.last(f"_{n}", ignorenulls=True).over(before) for n in carry}
+    border |= {f"_{n}": F.sum(f"_{n}").over(Window.partitionBy(*data.keys)) for n in total}
     border["_first"], border["_last"] = F.lit(1), F.col("_rows")
     # One select: every window reads the summary's own columns, not a column replaced before it.
     summary = summary.select(*data.part, *(value.alias(name) for name, value in border.items()))
@@ -145,4 +150,5 @@ def with_context(
     merged |= {n: F.when(at_first, F.col(f"_{n}")).otherwise(F.col(n)) for n in prev}
     merged |= {n: F.when(at_last, F.col(f"_{n}")).otherwise(F.col(n)) for n in next}
     merged |= {n: F.coalesce(n, f"_{n}") for n in carry}
+    merged |= {n: F.coalesce(f"_{n}", n) for n in total}
     return data.with_rows(rows.withColumns(merged).drop("_row", *border))

@@ -13,7 +13,7 @@ from ..functions.vectors import best_class, confidence, tensor
 from ..schema import AXES, CONFIDENCE_FIELD, GRID_POINTS, ZERO_CHANNELS
 from .joins import has_at_most, join_dimension
 
-MAX_CENTROID_ROWS = 200_000
+MAX_CLASSES = 1_000
 TENSOR_CHANNELS = len(AXES) + ZERO_CHANNELS
 
 
@@ -49,18 +49,29 @@ def score_with(samples: DataFrame, load: Callable[[], Callable[[np.ndarray], np.
 
 
 def centroids(points: DataFrame, classes: DataFrame, on: str = "userID") -> DataFrame:
-    """Mean value per class and grid point from the points of users with a known ``class``."""
-    known = join_dimension(points, classes, [on], "inner")
-    return known.groupBy("class", "k").agg(*(F.avg(a).alias(f"c_{a}") for a in AXES))
+    """Mean value per class and grid point from the points of users with a known ``class``.
+
+    Each user is reduced to one row per grid point before the classes are looked up.
+    """
+    sums = [F.sum(a).alias(f"s_{a}") for a in AXES]
+    per_user = points.groupBy(on, "k").agg(*sums, F.count(F.lit(1)).alias("n"))
+    known = join_dimension(per_user, classes.select(on, "class"), [on], "inner")
+    return known.groupBy("class", "k").agg(*((F.sum(f"s_{a}") / F.sum("n")).alias(f"c_{a}") for a in AXES))
+
+
+def few_classes(classes: DataFrame) -> bool:
+    """Whether centroids of ``classes`` are small enough to broadcast, from the class ids alone."""
+    return has_at_most(classes.select("class").distinct(), MAX_CLASSES)
 
 
-def score_centroids(points: DataFrame, centers: DataFrame, keys) -> DataFrame:
+def score_centroids(points: DataFrame, centers: DataFrame, keys, broadcast: bool) -> DataFrame:
     """One row per segment with class probabilities, ``softmax(-d2)`` over the classes in id order.
 
     Points meet the centroids of their own grid position, so a segment is compared with each class
-    once; the distances are summed before anything is shuffled.
+    once; the distances are summed before anything is shuffled.  ``broadcast`` is what ``few_classes``
+    says of the class ids.
     """
-    if has_at_most(centers, MAX_CENTROID_ROWS):
+    if broadcast:
         centers = F.broadcast(centers)
     else:
         # Many classes: spread the few grid positions over more join keys.

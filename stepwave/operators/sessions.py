@@ -6,7 +6,9 @@ an entry for its user, a stop closes it, a connect does neither.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import replace
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .joins import join_frequent
@@ -24,29 +26,28 @@ def events_by_user(events: DataFrame, max_rows: int = MAX_GROUP_ROWS, key: str =
 
 
 def with_sessions(data: Ordered) -> Ordered:
-    """Add ``session_no`` (stops strictly before the event) and ``online`` (a point came since the last stop)."""
+    """Add ``session_no`` (stops strictly before the event), ``online`` (a point came since the last stop)
+    and ``n_stops`` (all stops of the user)."""
     stop = is_kind("stop").cast("int")
     state = F.when(is_kind("point"), F.lit(True)).when(is_kind("stop"), F.lit(False))
-    seen = with_context(data, running={"session_no": stop}, carry={"online": state})
+    seen = with_context(data, running={"session_no": stop}, carry={"online": state}, total={"n_stops": stop})
     rows = seen.rows.withColumns(
         {"session_no": F.col("session_no") - stop, "online": F.coalesce("online", F.lit(False))}
     )
     return seen.with_rows(rows)
 
 
-def counted_in_session(data: Ordered, counted: Column, name: str) -> Ordered:
-    """Add ``name``: how many ``counted`` events the user's session has had up to this event."""
-    total = with_context(data, running={name: counted.cast("int")})
-    closed = with_context(total, carry={"_closed": F.when(is_kind("stop"), F.col(name))})
-    return closed.with_rows(
-        closed.rows.withColumn(name, F.col(name) - F.coalesce("_closed", F.lit(0))).drop("_closed")
-    )
+def numbered_in_session(data: Ordered, name: str) -> DataFrame:
+    """Number the rows of every session from 1 in order."""
+    sessions = replace(data, keys=(*data.keys, "session_no"))
+    return with_context(sessions, running={name: F.lit(1)}).rows
 
 
 def session_points(events: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Every point with its session and its running number there, from 1."""
-    data = with_sessions(counted_in_session(events_by_user(events, max_rows), is_kind("point"), "counter"))
-    return data.rows.filter(is_kind("point")).select("userID", "session_no", "counter", "index", "timeMs")
+    data = with_sessions(events_by_user(events, max_rows))
+    rows = numbered_in_session(data.with_rows(data.rows.filter(is_kind("point"))), "counter")
+    return rows.select("userID", "session_no", "counter", "index", "timeMs")
 
 
 def session_messages(events: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
@@ -58,10 +59,9 @@ def session_messages(events: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataF
 
 def online_users(events: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Users with a point since their last stop, with the open session and its number of points."""
-    data = with_sessions(counted_in_session(events_by_user(events, max_rows), is_kind("point"), "counter"))
-    end = F.max_by(F.struct("online", "session_no", "counter"), F.when(~is_kind("connect"), F.struct(*ORDER)))
-    last = data.rows.groupBy("userID").agg(end.alias("end")).select("userID", "end.*")
-    return last.filter("online").drop("online")
+    rows = with_sessions(events_by_user(events, max_rows)).rows
+    held = rows.filter(is_kind("point") & (F.col("session_no") == F.col("n_stops")))
+    return held.groupBy("userID", "session_no").agg(F.count(F.lit(1)).alias("counter"))
 
 
 def online_ids(events: DataFrame) -> DataFrame:
@@ -84,24 +84,19 @@ def unknown_only(inferences: DataFrame, online: DataFrame, max_rows: int = MAX_G
 def attributed(events: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Inferences with ``accepted``: whether their user was online when they arrived."""
     rows = with_sessions(events_by_user(events, max_rows)).rows.filter(is_kind("inference"))
-    return rows.drop("head", "slice", "slices").withColumnRenamed("online", "accepted")
+    return rows.drop("n_stops", "slice", "slices").withColumnRenamed("online", "accepted")
 
 
 def inference_lists(events: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Accepted inferences in arrival order, numbered per user and session; ``open`` marks the lists still held."""
     data = with_sessions(events_by_user(events, max_rows))
-    accepted = is_kind("inference") & F.col("online")
-    numbered = counted_in_session(data, accepted, "position")
-    rows = numbered.rows.filter(accepted)
-    stops = events.groupBy("userID").agg(F.count_if(is_kind("stop")).alias("_stops"))
-    listed = join_frequent(rows, stops, ["userID"], "left", max_rows)
+    accepted = data.with_rows(data.rows.filter(is_kind("inference") & F.col("online")))
     kept = [c for c in events.columns if c != "kind"]
-    return listed.select(*kept, "session_no", "position", (F.col("session_no") == F.col("_stops")).alias("open"))
+    held = (F.col("session_no") == F.col("n_stops")).alias("open")
+    return numbered_in_session(accepted, "position").select(*kept, "session_no", "position", held)
 
 
 def order_violations(points: DataFrame, message: str = "message_id", position: str = "pos", by: str = "index") -> DataFrame:
     """Points whose ``by`` is smaller than that of the previous point of the same message."""
-    from pyspark.sql import Window
-
     previous = F.lag(by).over(Window.partitionBy(message).orderBy(position))
     return points.withColumn("previous", previous).filter(F.col(by) < F.col("previous"))

@@ -17,8 +17,8 @@ def epoch_ms(ts: Column) -> Column:
     return F.unix_millis(F.to_utc_timestamp(ts.cast("timestamp"), F.current_timezone()))
 
 
-def readings(spark: SparkSession, folder: str) -> DataFrame:
-    """Three-axis readings with their strength."""
+def readings(spark: SparkSession, folder: str, *extra: Column) -> DataFrame:
+    """Three-axis readings with their strength, and ``extra`` columns of the event."""
     events = table(spark, folder, "events").select(
         F.col("event_id").alias("index"),
         F.col("user_id").cast("string").alias("userID"),
@@ -26,21 +26,26 @@ def readings(spark: SparkSession, folder: str) -> DataFrame:
         F.col("value").alias("accX"),
         F.get_json_object("props", "$.k").cast("double").alias("accY"),
         (F.col("event_id") % 97).cast("double").alias("accZ"),
+        *extra,
     )
     return events.withColumn("vSum", norm(F.col("accX"), F.col("accY"), F.col("accZ")))
 
 
-def lifecycle(spark: SparkSession, folder: str) -> DataFrame:
-    """Connection events: ``kind`` is connect, point, inference or stop."""
-    kind = (
+def event_kind() -> Column:
+    return (
         F.when(F.col("event_type") == "signup", "connect")
         .when(F.col("event_type") == "error", "stop")
         .when(F.col("event_type") == "view", "inference")
         .otherwise("point")
+        .alias("kind")
     )
+
+
+def lifecycle(spark: SparkSession, folder: str) -> DataFrame:
+    """Connection events: ``kind`` is connect, point, inference or stop."""
     return table(spark, folder, "events").select(
         F.col("event_id").alias("index"),
         F.col("user_id").cast("string").alias("userID"),
         epoch_ms(F.col("ts")).alias("timeMs"),
-        kind.alias("kind"),
+        event_kind(),
     )
