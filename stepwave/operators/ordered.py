@@ -2,7 +2,7 @@
 
 A sequence operator sees the rows of one group (user, or user and scope) in time order.  A group
 small enough for one task is handled by plain windows over its keys.  A group above ``max_rows``
-is cut into time slices; windows then run per slice, and a summary with one row per slice carries
+is cut into time slices of about equal size; windows then run per slice, and a summary with one row per slice carries
 what crosses a slice border.  Only summaries are ever ordered over a whole large group.
 """
 
@@ -12,11 +12,14 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from ..session import cut
 
 MAX_GROUP_ROWS = 500_000
 MAX_BROADCAST_GROUPS = 10_000
 SALTS = 256
+PIECES = 256
+ACCURACY = 2_000
 
 
 @dataclass(frozen=True)
@@ -44,54 +47,74 @@ class Ordered:
         return replace(self, rows=rows)
 
 
-def large_groups(rows: DataFrame, keys, time: str, max_rows: int) -> DataFrame:
-    """Groups above ``max_rows`` with their first time, slice width and slice count."""
-    stats = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(time).alias("t0"), F.max(time).alias("t1"))
-    slices = F.least(F.ceil(F.col("n") / F.lit(max_rows)), F.col("t1") - F.col("t0") + 1)
-    return (
-        stats.filter(F.col("n") > max_rows)
-        .withColumn("slices", slices.cast("bigint"))
-        .withColumn("width", F.ceil((F.col("t1") - F.col("t0") + 1) / F.col("slices")).cast("bigint"))
-        .select(*keys, "t0", "width", "slices")
-    )
-
-
 def in_order(rows: DataFrame, keys, order, max_rows: int = MAX_GROUP_ROWS, head: int = 0) -> Ordered:
     """Prepare ``rows`` for the operators below, slicing the groups that exceed ``max_rows``.
 
     With ``head`` the rows of a sliced group also carry ``head``: the order keys of its first rows.
     """
     keys, order = tuple(keys), tuple(order)
-    found = large_groups(rows, keys, order[0], max_rows)
-    sample = found.limit(MAX_BROADCAST_GROUPS + 1).collect()
+    large = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_rows)
+    sample = large.limit(MAX_BROADCAST_GROUPS + 1).collect()
     if not sample:
         return Ordered(rows, keys, order)
     few = len(sample) <= MAX_BROADCAST_GROUPS
-    groups = rows.sparkSession.createDataFrame(sample, found.schema) if few else found
-    if head:
-        groups = groups.join(_heads(rows, groups if few else None, keys, order, head), list(keys), "left")
+    groups = F.broadcast(rows.sparkSession.createDataFrame(sample, large.schema)) if few else large
+    # Quantiles are approximate, so they are fixed once for every branch that uses them.
+    starts = cut(_slice_starts(rows.join(groups, list(keys)), keys, order, max_rows, head))
     if few:
-        joined = rows.join(F.broadcast(groups), list(keys), "left")
+        joined = rows.join(F.broadcast(starts), list(keys), "left")
     else:
         # Too many large groups to broadcast: spread each of them over salted copies of its one row.
-        salted = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salted = starts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         salt = F.pmod(F.xxhash64(*order), F.lit(SALTS)).cast("int")
         joined = rows.withColumn("salt", salt).join(salted, [*keys, "salt"], "left").drop("salt")
-    cut = joined.withColumn(
-        "slice", F.coalesce(F.expr(f"({order[0]} - t0) div width"), F.lit(0).cast("bigint"))
-    ).withColumn("slices", F.coalesce("slices", F.lit(1).cast("bigint")))
-    return Ordered(cut.drop("t0", "width"), keys, order, sliced=True)
+    return Ordered(_with_slice(joined, order[0]), keys, order, sliced=True)
+
 
+def _slice_starts(rows: DataFrame, keys, order, max_rows: int, head: int) -> DataFrame:
+    """Start times of slices that hold about equally many rows, per large group.
 
-def _heads(rows, groups, keys, order, size) -> DataFrame:
-    """Order keys of the first ``size`` rows per group; the rank filter drops the rest before the shuffle."""
-    if groups is not None:
-        rows = rows.join(F.broadcast(groups.select(*keys)), list(keys), "left_semi")
+    A group needing more than ``PIECES`` slices has each piece divided evenly into ``splits``.
+    """
+    time = order[0]
+    quantiles = F.percentile_approx(time, [i / PIECES for i in range(1, PIECES)], ACCURACY)
+    stats = rows.groupBy(*keys).agg(
+        F.max("n").alias("n"), F.min(time).alias("t0"), F.max(time).alias("t1"), quantiles.alias("quantiles")
+    )
+    wanted = F.ceil(F.col("n") / max_rows)
+    stride = F.greatest(F.floor(F.lit(PIECES) / wanted), F.lit(1))
+    taken = F.filter("quantiles", lambda _, i: (i + 1) % stride == 0)
+    starts = F.array_distinct(F.concat(F.array("t0"), taken))
+    splits = F.ceil(wanted / PIECES).cast("bigint")
+    result = stats.select(
+        *keys, starts.alias("starts"), splits.alias("splits"), "t1", (F.size(starts) * splits).alias("slices")
+    )
+    if not head:
+        return result
+    # The rank filter keeps a few rows per task and group before anything is shuffled.
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    first = rows.select(*keys, *order).withColumn("rank", rank).filter(F.col("rank") <= size)
-    return first.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct(*order))).alias("head")
+    first = rows.select(*keys, *order).withColumn("rank", rank).filter(F.col("rank") <= head)
+    heads = first.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*order))).alias("head"))
+    return result.join(heads, list(keys))
+
+
+def _with_slice(rows: DataFrame, time: str) -> DataFrame:
+    """Number the slice of every row; rows of small groups are all in slice 0."""
+    at, steps = F.col(time), F.array(*(F.lit(1 << b) for b in reversed(range(PIECES.bit_length() - 1))))
+    piece = F.aggregate(
+        steps, F.lit(0), lambda p, step: F.when(F.get("starts", p + step) <= at, p + step).otherwise(p)
     )
+    located = rows.withColumn("_piece", F.when(F.col("starts").isNotNull(), piece))
+    start, end = F.get("starts", F.col("_piece")), F.get("starts", F.col("_piece") + 1)
+    width = F.ceil((F.coalesce(end, F.col("t1") + 1) - start) / F.col("splits")).cast("bigint")
+    located = located.withColumns({"_start": start, "_width": width})
+    number = F.col("_piece") * F.col("splits") + F.floor((at - F.col("_start")) / F.col("_width"))
+    return located.withColumns(
+        {
+            "slice": F.coalesce(number.cast("bigint"), F.lit(0).cast("bigint")),
+            "slices": F.coalesce("slices", F.lit(1).cast("bigint")),
+        }
+    ).drop("starts", "splits", "t1", "_piece", "_start", "_width")
 
 
 def with_context(

@@ -79,9 +79,8 @@ def score_centroids(points: DataFrame, centers: DataFrame, keys, broadcast: bool
         points = points.withColumn("salt", F.pmod(F.xxhash64(*keys, "segment_no"), F.lit(salts)).cast("int"))
         centers = centers.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     on = [c for c in ("k", "salt") if c in points.columns]
-    d2 = F.lit(0.0)
-    for axis in AXES:
-        d2 = d2 + F.pow(F.col(axis) - F.col(f"c_{axis}"), F.lit(2))
+    gaps = [F.col(axis) - F.col(f"c_{axis}") for axis in AXES]
+    d2 = sum((gap * gap for gap in gaps[1:]), gaps[0] * gaps[0])
     segment = [*keys, "segment_no"]
     distances = points.join(centers, on).groupBy(*segment, "class").agg(F.sum(d2).alias("d2"))
     ranked = distances.groupBy(*segment).agg(F.array_sort(F.collect_list(F.struct("class", "d2"))).alias("all"))

@@ -107,14 +107,8 @@ def envelope_points(spark, d):
 
 
 def envelope_routes(spark, d):
-    events = envelopes.decoded(messages_of(spark, d))
-    routes = [
-        envelopes.connects(events).select("uuid", F.lit("connect").alias("route")),
-        envelopes.stops(events).select("uuid", F.lit("stop").alias("route")),
-        envelopes.others(events).select("uuid", F.lit("other").alias("route")),
-    ]
-    every = routes[0].unionByName(routes[1]).unionByName(routes[2])
-    return every.groupBy("uuid", "route").agg(F.count(F.lit(1)).alias("n_messages"))
+    events = envelopes.with_route(envelopes.decoded(messages_of(spark, d)))
+    return events.groupBy("uuid", "route").agg(F.count(F.lit(1)).alias("n_messages"))
 
 
 def points_xyz4(spark, d):
@@ -349,9 +343,8 @@ def order_violations(spark, d):
         F.to_json(F.struct(F.lit(EVENT_POINTS).alias("event"), data.alias("data"))).alias("value")
     )
     received = envelopes.points(envelopes.decoded(packed).drop("value"))
-    typed = lines.parsed(received.withColumnRenamed("point", "value"))
-    found = sessions.order_violations(typed.select("message_id", "pos", "index", "timeMs"))
-    return found.select("message_id", "pos", "index", "previous")
+    found = envelopes.order_violations(received)
+    return found.select("message_id", "pos", F.col("current").alias("index"), F.col("last").alias("previous"))
 
 
 def live_feed(spark, d):

@@ -180,9 +180,10 @@ ORACLE: dict[str, str] = {
     ),
     "envelope_routes": """
         SELECT CAST(user_id AS VARCHAR) AS uuid,
-               CASE event_type WHEN 'signup' THEN 'connect' WHEN 'error' THEN 'stop' ELSE 'other' END AS route,
+               CASE event_type WHEN 'signup' THEN 'connect' WHEN 'error' THEN 'stop' WHEN 'view' THEN 'other'
+                               ELSE 'gait' END AS route,
                count(*) AS n_messages
-        FROM events WHERE event_type IN ('signup', 'error', 'view') GROUP BY 1, 2""",
+        FROM events GROUP BY 1, 2""",
     "points_xyz4": with_readings(f" SELECT {READING_OUT} FROM r"),
     "vector_norm": with_readings(f""" SELECT "index", {r6('"vSum"')} AS "vSum" FROM r"""),
     "local_maxima": _maxima_out(True),

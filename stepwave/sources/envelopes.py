@@ -5,19 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import join_frequent
 from ..schema import CONFIDENCE_FIELD, ENVELOPE, EVENT_CONNECT, EVENT_POINTS, EVENT_STOP, INFERENCE_WIRE, POINTS_FIELD
 
 
 def decoded(messages: DataFrame, column: str = "value") -> DataFrame:
     """Add ``event``, ``uuid``, ``userid`` and the point array ``points``; all NULL for a broken message."""
-    body = F.from_json(column, ENVELOPE)
-    return messages.withColumn("_m", body).select(
-        *messages.columns,
+    row = F.struct(
         F.col("_m.event").alias("event"),
         F.col("_m.data.uuid").alias("uuid"),
         F.col("_m.data.userid").alias("userid"),
         F.col(f"_m.data.{POINTS_FIELD}").alias("points"),
     )
+    # Generated as one row, so that a filter on the event does not decode the message again.
+    body = F.from_json(column, ENVELOPE)
+    return messages.withColumn("_m", body).select(*messages.columns, F.inline(F.array(row)))
+
+
+def with_route(events: DataFrame) -> DataFrame:
+    """Add ``route``, the event type; messages of no known type are ``other`` and only count."""
+    known = F.col("event").isin(EVENT_CONNECT, EVENT_POINTS, EVENT_STOP)
+    return events.withColumn("route", F.when(known, F.col("event")).otherwise("other"))
 
 
 def connects(events: DataFrame) -> DataFrame:
@@ -29,26 +37,41 @@ def stops(events: DataFrame) -> DataFrame:
 
 
 def others(events: DataFrame) -> DataFrame:
-    """Messages of no known type; they only count."""
-    known = F.coalesce(F.col("event").isin(EVENT_CONNECT, EVENT_POINTS, EVENT_STOP), F.lit(False))
-    return events.filter(~known).drop("points")
+    return with_route(events).filter(F.col("route") == "other").drop("points", "route")
 
 
 def points(events: DataFrame) -> DataFrame:
-    """One row per non-empty point of the point messages, with its position ``pos`` in the message."""
+    """One row per non-empty point of the point messages.
+
+    ``pos`` is its position in the message and ``previous`` the non-empty point before it there.
+    """
     kept = [c for c in events.columns if c not in ("points", "event", "userid")]
-    rows = events.filter(F.col("event") == EVENT_POINTS).select(*kept, F.posexplode("points").alias("pos", "point"))
-    return rows.filter(F.length("point") > 0)
+    placed = F.transform("points", lambda p, i: F.struct(i.alias("pos"), p.alias("point")))
+    filled = events.filter(F.col("event") == EVENT_POINTS).select(
+        *kept, F.filter(placed, lambda p: F.length(p["point"]) > 0).alias("_points")
+    )
+    linked = F.transform(
+        "_points",
+        lambda p, i: F.struct(p["pos"].alias("pos"), p["point"].alias("point"), F.get("_points", i - 1)["point"].alias("previous")),
+    )
+    return filled.select(*kept, F.inline(linked))
+
+
+def order_violations(message_points: DataFrame, field: int = 0) -> DataFrame:
+    """Points whose number in ``field`` is smaller than that of the previous point of their message.
+
+    Field 0 is the index, field 2 the time.  The check stays inside a message, so nothing is shuffled.
+    """
+    number = lambda line: F.get(F.split(line, ","), F.lit(field)).try_cast("bigint")
+    checked = message_points.withColumns({"current": number("point"), "last": number("previous")})
+    return checked.filter(F.col("current") < F.col("last"))
 
 
 def stops_with_user(stop_events: DataFrame, seen: DataFrame) -> DataFrame:
     """Fill a missing ``userid`` of a stop with the user last seen under its ``uuid`` (``seen``: uuid, userID, timeMs)."""
     users = seen.groupBy("uuid").agg(F.max_by("userID", "timeMs").alias("_seen"))
-    return (
-        stop_events.join(users, "uuid", "left")
-        .withColumn("userid", F.coalesce("userid", "_seen"))
-        .drop("_seen")
-    )
+    joined = join_frequent(stop_events, users, ["uuid"], "left")
+    return joined.withColumn("userid", F.coalesce("userid", "_seen")).drop("_seen")
 
 
 def inferences(records: DataFrame, column: str = "value") -> DataFrame:

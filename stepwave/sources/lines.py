@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.vectors import norm
 from ..schema import READING, READING_FIELDS
 
+BLANKS = " \t\r\n"
+
 
 def line_stream(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
     """Text files that appear in ``folder``, one row per line."""
@@ -27,38 +29,45 @@ def split_lines(payloads: DataFrame, column: str = "value") -> DataFrame:
     return payloads.select(*others, F.explode(F.split(column, "\n")).alias(column))
 
 
-def field(line: Column, position: int) -> Column:
-    return F.trim(F.regexp_replace(F.get(F.split(line, ","), F.lit(position)), "[\r\n\t]", ""))
+def field(parts: Column, position: int) -> Column:
+    return F.get(parts, F.lit(position))
 
 
 def user_of(line: Column) -> Column:
-    return field(line, 1)
+    return F.trim(field(F.split(line, ","), 1), F.lit(BLANKS))
+
 
+def _typed(lines: DataFrame, line: str, kinds: dict[str, str]) -> DataFrame:
+    """Add the comma-separated fields of ``line`` with the given types, and ``_suffix``.
 
-def _number(text: Column, kind: str) -> Column:
-    # A trailing d or f is a Java literal suffix, not part of a number.
-    return F.when(~text.rlike("[0-9.][dDfF]$"), text.try_cast(kind))
+    ``_suffix`` marks a double with a trailing d or f, which a Java parser takes for a number.  The
+    fields are generated as one row, so later filters read them instead of parsing again.
+    """
+    parts = F.col("_parts")
+    fields = {
+        name: F.trim(field(parts, i), F.lit(BLANKS)) if kind == "string" else field(parts, i).try_cast(kind)
+        for i, (name, kind) in enumerate(kinds.items())
+    }
+    doubles = [i for i, kind in enumerate(kinds.values()) if kind == "double"]
+    suffix = F.col(line).rlike(rf"^([^,]*,){{{doubles[0]},{doubles[-1]}}}[^,]*[0-9.][dDfF]\s*(,|$)")
+    row = F.struct(*(v.alias(n) for n, v in fields.items()), suffix.alias("_suffix"))
+    return lines.withColumn("_parts", F.split(line, ",")).select(*lines.columns, F.inline(F.array(row)))
 
 
 def parsed(lines: DataFrame, column: str = "value") -> DataFrame:
     """Add the reading fields and ``problem``, NULL for a good line.  Fields beyond the seventh are ignored."""
-    types = {f.name: f.dataType.simpleString() for f in READING.fields}
-    fields = {
-        name: field(F.col(column), i) if types[name] == "string" else _number(field(F.col(column), i), types[name])
-        for i, name in enumerate(READING_FIELDS)
-    }
-    return with_problem(lines.withColumns(fields))
+    return with_problem(_typed(lines, column, {f.name: f.dataType.simpleString() for f in READING.fields}))
 
 
 def with_problem(rows: DataFrame) -> DataFrame:
-    missing, not_number = F.lit(False), F.lit(False)
+    missing, not_number = F.coalesce("_suffix", F.lit(True)), F.lit(False)
     for f in READING.fields:
         missing = missing | F.col(f.name).isNull()
         if f.dataType.simpleString() == "double":
             not_number = not_number | F.isnan(f.name)
     empty_user = F.col("userID") == ""
     problem = F.when(missing | empty_user, "missing").when(not_number, "not a number")
-    return rows.withColumn("problem", problem)
+    return rows.withColumn("problem", problem).drop("_suffix")
 
 
 def good(rows: DataFrame) -> DataFrame:
@@ -72,15 +81,10 @@ def quarantined(rows: DataFrame, column: str = "value") -> DataFrame:
 
 def parsed_xyz4(points: DataFrame, column: str = "point", user: str = "uuid", position: str = "index") -> DataFrame:
     """The four-field layout ``timestamp, x, y, z``: position, user and strength come from around the line."""
-    time, *axes = (_number(field(F.col(column), i), k) for i, k in enumerate(["bigint"] + ["double"] * 3))
-    typed = points.withColumns(
-        {
-            "index": F.col(position).cast("bigint"),
-            "userID": F.trim(user),
-            "timeMs": time,
-            "accX": axes[0],
-            "accY": axes[1],
-            "accZ": axes[2],
-        }
-    )
-    return with_problem(typed.withColumn("vSum", norm(F.col("accX"), F.col("accY"), F.col("accZ"))))
+    typed = _typed(points, column, {"timeMs": "bigint", "accX": "double", "accY": "double", "accZ": "double"})
+    around = {
+        "index": F.col(position).cast("bigint"),
+        "userID": F.trim(user),
+        "vSum": norm(F.col("accX"), F.col("accY"), F.col("accZ")),
+    }
+    return with_problem(typed.withColumns(around))

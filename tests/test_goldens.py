@@ -1,12 +1,14 @@
 """Hand-worked cases."""
 
+import json
+
 import pytest
 from data import events, first_fixture, frame, reading
 from pyspark.sql import functions as F
 
 from stepwave.functions.vectors import best_class, confidence, from_text, norm, tensor, to_text
 from stepwave.operators import peaks, resample, segments, sessions
-from stepwave.sources import lines
+from stepwave.sources import envelopes, lines
 
 
 @pytest.mark.parametrize("max_rows", [500, 4])
@@ -107,9 +109,15 @@ def test_first_class_wins_a_tie(spark):
 
 
 def test_order_check_restarts_per_message(spark):
-    rows = [(1, p, i) for p, i in enumerate([1, 2, 5, 4, 6])] + [(2, p, i) for p, i in enumerate([1, 2])]
-    points = spark.createDataFrame(rows, "message_id int, pos int, `index` bigint")
-    assert [tuple(r) for r in sessions.order_violations(points).collect()] == [(1, 3, 4, 5)]
+    def message(*indexes):
+        return json.dumps({"event": "gait", "data": {"uuid": "q", "gait": [i and f"{i}, u, {9 - i}, 0, 0, 0, 0" for i in indexes]}})
+
+    rows = spark.createDataFrame([(1, message(1, 2, 5, "", 4, 6)), (2, message(1, 2))], "m int, value string")
+    points = envelopes.points(envelopes.decoded(rows).drop("value"))
+    found = envelopes.order_violations(points).select("m", "pos", "current", "last")
+    assert [tuple(r) for r in found.collect()] == [(1, 4, 4, 5)]
+    by_time = envelopes.order_violations(points, field=2).select("m", "current")
+    assert sorted(map(tuple, by_time.collect())) == [(1, 3), (1, 4), (1, 7), (2, 7)]
 
 
 def test_vector_text_and_tensor(spark):

@@ -145,10 +145,28 @@ def test_frequent_keys_in_joins(spark, max_rows):
     }
 
 
-def test_no_group_reaches_a_task_whole(spark):
-    data = peaks.by_user(frame(spark, walk(9, {"hot": 1200, "a": 5})), None, 50)
-    sizes = data.rows.groupBy(*data.part).count().agg(F.max("count")).first()[0]
-    assert sizes <= 150
+@pytest.mark.parametrize("burst", [False, True])
+def test_no_group_reaches_a_task_whole(spark, burst):
+    rows = walk(9, {"hot": 1200, "a": 5}, ties=0.0)
+    if burst:
+        for r in rows[:900]:
+            r["timeMs"] = 1_574_812_000_000 + r["timeMs"] % 2000
+    data = peaks.by_user(frame(spark, rows), None, 50)
+    sizes = data.rows.groupBy(*data.part).count().agg(F.max("count"), F.count("*")).first()
+    assert sizes[0] <= 100 and sizes[1] >= 20
+    found = sorted(((r.userID,), r["index"]) for r in peaks.cycle_peaks(data, 300).rows.collect())
+    assert found == ids({k: plain.cycle_peaks(g, 300) for k, g in plain.grouped(rows).items()})
+
+
+def test_pieces_are_split_further(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "PIECES", 4)
+    rows = walk(4, {"hot": 1000, "a": 9})
+    data = peaks.by_user(frame(spark, rows), None, 20)
+    assert data.rows.agg(F.max("slices")).first()[0] > 40
+    order = data.rows.filter("userID = 'hot'").orderBy("timeMs", "index").collect()
+    assert [r.slice for r in order] == sorted(r.slice for r in order)
+    found = sorted(((r.userID,), r["index"]) for r in peaks.cycle_peaks(data, 700).rows.collect())
+    assert found == ids({k: plain.cycle_peaks(g, 700) for k, g in plain.grouped(rows).items()})
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
