@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 
-MAX_GROUP_ROWS = 500_000
+MAX_GROUP_ROWS = 200_000
 MAX_BROADCAST_GROUPS = 10_000
 SALTS = 256
 PIECES = 256

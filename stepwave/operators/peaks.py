@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scan import Rule, entry_anchors, entry_exits, scan_emitted, scan_exit
+from ..functions.scan import Rule, emitted_positions, entry_anchors, exit_anchors
 from ..schema import CYCLE_MS, WARMUP_POSITIONS
 from ..session import cut
 from .ordered import MAX_GROUP_ROWS, Ordered, in_order, with_context
@@ -68,8 +68,6 @@ def greedy(data: Ordered, rule: Rule, columns: tuple[str, ...]) -> Ordered:
     in slice order, and each slice is then scanned from its own entry.
     """
     fields = ("timeMs", *(c for c in columns if c != "timeMs"))
-    kinds = dict(data.rows.dtypes)
-    item = "struct<" + ",".join(f"{f}:{kinds[f]}" for f in fields) + ">"
     group = [*data.part, "slices"] if data.sliced else list(data.part)
     packed = data.rows.groupBy(*group).agg(
         F.array_sort(F.collect_list(F.struct(*fields))).alias("items")
@@ -80,20 +78,18 @@ def greedy(data: Ordered, rule: Rule, columns: tuple[str, ...]) -> Ordered:
         packed = packed.join(entry, list(data.part), "left")
     else:
         packed = packed.withColumn("anchor", F.lit(None).cast("bigint"))
-    emitted = packed.select(*group, F.explode(scan_emitted(F.col("items"), F.col("anchor"), rule, item)).alias("item"))
+    places = emitted_positions(F.col("items.timeMs"), F.col("anchor"), rule)
+    taken = F.transform("places", lambda p: F.get("items", p))
+    emitted = packed.withColumn("places", places).select(*group, F.explode(taken).alias("item"))
     return data.with_rows(emitted.select(*group, "item.*"))
 
 
 def _entries(packed: DataFrame, data: Ordered, rule: Rule) -> DataFrame:
     """Anchor with which the scan enters each slice of the large groups."""
-    items = F.col("items")
-    moves = packed.filter(F.col("slices") > 1).select(
+    large = packed.filter(F.col("slices") > 1).select(*data.part, F.col("items.timeMs").alias("times"))
+    moves = large.withColumn("exits", exit_anchors(F.col("times"), rule)).select(
         *data.keys,
-        F.struct(
-            "slice",
-            scan_exit(items, F.lit(None), rule).alias("fresh"),
-            entry_exits(items, rule).alias("exits"),
-        ).alias("move"),
+        F.struct("slice", F.slice("times", F.lit(1), F.size("exits") - 1).alias("heads"), "exits").alias("move"),
     )
     folded = moves.groupBy(*data.keys).agg(F.array_sort(F.collect_list("move")).alias("moves"))
     return folded.select(*data.keys, F.explode(entry_anchors(F.col("moves"), rule)).alias("e")).select(
@@ -109,7 +105,9 @@ def cycle_peaks(data: Ordered, cycle_ms: int = CYCLE_MS, skip_warmup: bool = Tru
     maxima = local_maxima(data, skip_warmup)
     peaks = greedy(maxima, Rule(cycle_ms), ("timeMs", "index", "next_ms"))
     first = F.min(F.struct("timeMs", "next_ms", *data.slice_columns)).alias("first")
-    rows = peaks.rows.groupBy(*data.keys, "index").agg(first).select(*data.keys, "index", "first.*")
+    # Without slices one shuffle by group serves this count and every later window over the peaks.
+    found = peaks.rows if data.sliced else peaks.rows.repartition(*data.keys)
+    rows = found.groupBy(*data.keys, "index").agg(first).select(*data.keys, "index", "first.*")
     return peaks.with_rows(cut(rows) if data.sliced else rows)
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,9 @@ from ..functions.vectors import best_class, confidence, tensor
 from ..schema import AXES, CONFIDENCE_FIELD, GRID_POINTS, ZERO_CHANNELS
 from .joins import has_at_most, join_dimension
 
+# Workers get this module's functions themselves, so they need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MAX_CLASSES = 1_000
 TENSOR_CHANNELS = len(AXES) + ZERO_CHANNELS
 

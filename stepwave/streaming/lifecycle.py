@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
+# Workers get this module's functions themselves, so they need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 STATE = StructType(
     [
         StructField("session_no", LongType()),
