@@ -14,18 +14,20 @@ microseconds per item, far more than a jump.
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Workers get this module's functions themselves, so they need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-PIECE = 256
+NO_ANCHOR = -(1 << 63)
 
 
 @dataclass(frozen=True)
@@ -33,9 +35,6 @@ class Rule:
     gap: int
     follow: bool = False
 
-    def hit(self, anchor: Column, time: Column) -> Column:
-        return time - anchor >= self.gap if self.follow else time - anchor > self.gap
-
     def reach(self, times: np.ndarray, anchors) -> np.ndarray:
         """Position of the first item that each anchor makes the scan emit."""
         return np.searchsorted(times, anchors + self.gap, side="left" if self.follow else "right")
@@ -44,27 +43,27 @@ class Rule:
         """The same for the items themselves as anchors; always a later position."""
         return np.maximum(self.reach(times, times), np.arange(1, len(times) + 1)).tolist()
 
-    def begin(self, times: np.ndarray, anchor: int | None, jumps: list[int]) -> tuple[int, int | None]:
+    def begin(self, times: np.ndarray, anchor: int, jumps: list[int]) -> tuple[int, int]:
         """Position of the first emission and the anchor before it."""
-        if anchor is not None:
+        if anchor != NO_ANCHOR:
             return int(self.reach(times, anchor)), anchor
-        return (0, None) if self.follow else (jumps[0], int(times[0]))
+        return (0, NO_ANCHOR) if self.follow else (jumps[0], int(times[0]))
 
-    def proceed(self, times: np.ndarray, at: int, jumps: list[int]) -> tuple[int, int | None]:
+    def proceed(self, times: np.ndarray, at: int, jumps: list[int]) -> tuple[int, int]:
         """Position of the emission after the one at ``at`` and the anchor in between."""
         start = at if self.follow else at + 1
-        return (jumps[start], int(times[start])) if start < len(times) else (len(times), None)
+        return (jumps[start], int(times[start])) if start < len(times) else (len(times), NO_ANCHOR)
 
 
 def emitted_positions(times: Column, anchor: Column, rule: Rule) -> Column:
-    """Positions of the emitted items, from 0; ``anchor`` is the time carried in, NULL for none."""
+    """Positions of the emitted items, from 0; ``anchor`` is the time carried in."""
 
     @F.pandas_udf("array<int>")
     def scan(arrays: pd.Series, anchors: pd.Series) -> pd.Series:
         found = []
         for values, carried in zip(arrays, anchors):
             jumps, out = rule.jumps(values), []
-            at, _ = rule.begin(values, None if pd.isna(carried) else int(carried), jumps)
+            at, _ = rule.begin(values, carried, jumps)
             while at < len(values):
                 out.append(at)
                 at, _ = rule.proceed(values, at, jumps)
@@ -74,21 +73,22 @@ def emitted_positions(times: Column, anchor: Column, rule: Rule) -> Column:
     return scan(times, anchor)
 
 
-def exit_anchors(times: Column, rule: Rule) -> Column:
-    """The anchor left behind by a scan without a carried anchor, then by scans whose first emission is
-    item 0, 1, 2 ...
+def transitions(times: Column, rule: Rule) -> Column:
+    """What a scan of one slice does to the anchor: ``fresh``, the anchor it leaves when none is carried
+    in, and ``heads`` with ``exits``: a carried anchor takes the exit of the first head that it reaches,
+    or stays as it is when it reaches none.
 
-    An anchor carried in lies within ``gap`` before the first item, so the items up to the first one
-    more than ``gap`` after the first item are all that it can make the scan emit first.
+    A carried anchor lies within ``gap`` before the first item, so only the items up to the first one
+    more than ``gap`` after the first item can be heads.  Of neighbours with one exit the last is listed.
     """
 
-    @F.pandas_udf("array<bigint>")
-    def scan(arrays: pd.Series) -> pd.Series:
+    @F.pandas_udf("fresh bigint, heads array<bigint>, exits array<bigint>")
+    def scan(arrays: pd.Series) -> pd.DataFrame:
         found = []
         for values in arrays:
             jumps, known = rule.jumps(values), {}
 
-            def leave(at: int, anchor: int | None) -> int | None:
+            def leave(at: int, anchor: int) -> int:
                 path = []
                 while at < len(values) and at not in known:
                     path.append(at)
@@ -97,38 +97,37 @@ def exit_anchors(times: Column, rule: Rule) -> Column:
                 known.update(dict.fromkeys(path, anchor))
                 return anchor
 
-            heads = min(int(np.searchsorted(values, values[0] + rule.gap, side="right")) + 1, len(values))
-            fresh = leave(*rule.begin(values, None, jumps))
-            found.append([fresh, *(leave(i, None) for i in range(heads))])
-        return pd.Series(found, dtype=object)
+            count = min(int(np.searchsorted(values, values[0] + rule.gap, side="right")) + 1, len(values))
+            exits = np.array([leave(i, NO_ANCHOR) for i in range(count)], dtype=np.int64)
+            last = np.append(exits[1:] != exits[:-1], True)
+            found.append((leave(*rule.begin(values, NO_ANCHOR, jumps)), values[:count][last], exits[last]))
+        return pd.DataFrame(found, columns=["fresh", "heads", "exits"])
 
     return scan(times)
 
 
-def entry_anchors(slices: Column, rule: Rule) -> Column:
-    """Fold the per-slice summaries ``(slice, heads, exits)`` into ``(slice, anchor)`` on entry.
+def entry_anchors(moves: DataFrame, keys, rule: Rule) -> DataFrame:
+    """The anchor on entry to each slice, from the slices' transitions in order.
 
-    ``exits`` is as above and ``heads`` are the times of the items it lists after the first entry.
+    Only an anchor is kept while the summaries of a group stream past; nothing of a group is gathered.
     """
-    kind = "struct<slice:bigint,anchor:bigint>"
-
-    def leave(state: Column, part: Column) -> Column:
-        exits = F.filter(part["exits"], lambda _, i: (i == 0) | rule.hit(state["anchor"], F.get(part["heads"], i - 1)))
-        carried = F.when(F.size(exits) > 1, F.get(exits, 1)).otherwise(state["anchor"])
-        return F.when(state["anchor"].isNull(), F.get(exits, 0)).otherwise(carried)
-
-    def step(state: Column, part: Column) -> Column:
-        seen = F.array(F.struct(part["slice"].alias("slice"), state["anchor"].alias("anchor")))
-        full = F.size(state["piece"]) >= PIECE
-        return F.struct(
-            leave(state, part).alias("anchor"),
-            F.when(full, seen).otherwise(F.concat(state["piece"], seen)).alias("piece"),
-            F.when(full, F.concat(state["done"], F.array(state["piece"]))).otherwise(state["done"]).alias("done"),
-        )
-
-    begin = F.struct(
-        F.lit(None).cast("bigint").alias("anchor"),
-        F.array().cast(f"array<{kind}>").alias("piece"),
-        F.array().cast(f"array<array<{kind}>>").alias("done"),
-    )
-    return F.aggregate(slices, begin, step, lambda s: F.flatten(F.concat(s["done"], F.array(s["piece"]))))
+    schema = T.StructType([*(moves.schema[k] for k in (*keys, "slice")), T.StructField("anchor", T.LongType())])
+    width = len(keys)
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        group, anchor = None, NO_ANCHOR
+        for batch in batches:
+            entries = []
+            for *place, fresh, heads, exits in batch.itertuples(index=False, name=None):
+                if place[:width] != group:
+                    group, anchor = place[:width], NO_ANCHOR
+                entries.append((*place, anchor))
+                if anchor == NO_ANCHOR:
+                    anchor = fresh
+                else:
+                    at = rule.reach(heads, anchor)
+                    anchor = int(exits[at]) if at < len(heads) else anchor
+            yield pd.DataFrame(entries, columns=schema.names)
+
+    ordered = moves.select(*keys, "slice", "fresh", "heads", "exits").repartition(*keys)
+    return ordered.sortWithinPartitions(*keys, "slice").mapInPandas(fold, schema)

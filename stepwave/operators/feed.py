@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.scan import Rule
 from ..schema import THROTTLE_MS
 from .joins import join_frequent
-from .ordered import MAX_GROUP_ROWS, in_order, with_context
+from .ordered import in_order, with_context
 from .peaks import ORDER, greedy
 
 
@@ -42,13 +42,13 @@ def tail(feed: DataFrame, since_ms: int) -> DataFrame:
     return feed.filter(F.col("timeMs") > since_ms)
 
 
-def every_nth(feed: DataFrame, n: int = 1, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def every_nth(feed: DataFrame, n: int = 1, max_rows: int | None = None) -> DataFrame:
     """The first and then every ``n``-th point of a user."""
     data = with_context(in_order(feed, ("userID",), ORDER, max_rows), running={"_count": F.lit(1)})
     return data.rows.filter((F.col("_count") - 1) % n == 0).select(*feed.columns)
 
 
-def throttled(feed: DataFrame, gap_ms: int = THROTTLE_MS, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def throttled(feed: DataFrame, gap_ms: int = THROTTLE_MS, max_rows: int | None = None) -> DataFrame:
     """Points at least ``gap_ms`` after the last point sent to the same user's feed."""
     data = in_order(feed, ("userID",), ORDER, max_rows)
     return greedy(data, Rule(gap_ms, follow=True), ("timeMs", "index", "vSum")).rows.select(

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import MAX_BROADCAST_GROUPS, MAX_GROUP_ROWS
+from .ordered import MAX_BROADCAST_GROUPS, group_limit
 
 MAX_DIMENSION_ROWS = 100_000
 
@@ -25,14 +25,14 @@ def join_dimension(left: DataFrame, dimension: DataFrame, on: list[str], how: st
 
 
 def join_frequent(
-    left: DataFrame, right: DataFrame, on: list[str], how: str, max_rows: int = MAX_GROUP_ROWS
+    left: DataFrame, right: DataFrame, on: list[str], how: str, max_rows: int | None = None
 ) -> DataFrame:
     """Join ``left`` with a ``right`` that is unique on ``on`` (left, left_semi or left_anti).
 
     Rows of keys that occur more than ``max_rows`` times on the left join a broadcast of just those
     keys' right rows and never shuffle; the rest join as usual.
     """
-    counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_rows).select(*on)
+    counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > group_limit(left, max_rows)).select(*on)
     sample = counts.limit(MAX_BROADCAST_GROUPS + 1).collect()
     if not sample or len(sample) > MAX_BROADCAST_GROUPS:
         # Nothing frequent, or so many frequent keys that hashing spreads them; adaptive execution splits the rest.

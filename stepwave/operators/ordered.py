@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 from ..session import cut
 
 MAX_GROUP_ROWS = 200_000
+MAX_GROUP_ROWS_SETTING = "spark.stepwave.maxGroupRows"
 MAX_BROADCAST_GROUPS = 10_000
 SALTS = 256
 PIECES = 256
+MAX_SLICES = PIECES * 256
 ACCURACY = 2_000
 
 
@@ -47,12 +49,19 @@ class Ordered:
         return replace(self, rows=rows)
 
 
-def in_order(rows: DataFrame, keys, order, max_rows: int = MAX_GROUP_ROWS, head: int = 0) -> Ordered:
+def group_limit(df: DataFrame, max_rows: int | None) -> int:
+    """Largest group that one task takes: the argument, else the session's setting, else the default."""
+    if max_rows is not None:
+        return max_rows
+    return int(df.sparkSession.conf.get(MAX_GROUP_ROWS_SETTING, str(MAX_GROUP_ROWS)))
+
+
+def in_order(rows: DataFrame, keys, order, max_rows: int | None = None, head: int = 0) -> Ordered:
     """Prepare ``rows`` for the operators below, slicing the groups that exceed ``max_rows``.
 
     With ``head`` the rows of a sliced group also carry ``head``: the order keys of its first rows.
     """
-    keys, order = tuple(keys), tuple(order)
+    keys, order, max_rows = tuple(keys), tuple(order), group_limit(rows, max_rows)
     large = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_rows)
     sample = large.limit(MAX_BROADCAST_GROUPS + 1).collect()
     if not sample:
@@ -81,7 +90,7 @@ def _slice_starts(rows: DataFrame, keys, order, max_rows: int, head: int) -> Dat
     stats = rows.groupBy(*keys).agg(
         F.max("n").alias("n"), F.min(time).alias("t0"), F.max(time).alias("t1"), quantiles.alias("quantiles")
     )
-    wanted = F.ceil(F.col("n") / max_rows)
+    wanted = F.least(F.ceil(F.col("n") / max_rows), F.lit(MAX_SLICES))
     stride = F.greatest(F.floor(F.lit(PIECES) / wanted), F.lit(1))
     taken = F.filter("quantiles", lambda _, i: (i + 1) % stride == 0)
     starts = F.array_distinct(F.concat(F.array("t0"), taken))

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scan import Rule, emitted_positions, entry_anchors, exit_anchors
+from ..functions.scan import NO_ANCHOR, Rule, emitted_positions, entry_anchors, transitions
 from ..schema import CYCLE_MS, WARMUP_POSITIONS
 from ..session import cut
-from .ordered import MAX_GROUP_ROWS, Ordered, in_order, with_context
+from .ordered import Ordered, in_order, with_context
 
 ORDER = ("timeMs", "index")
 
@@ -19,7 +19,7 @@ def scoped(readings: DataFrame, scope_ms: int | None) -> DataFrame:
     return readings.withColumn("scope", scope)
 
 
-def by_user(readings: DataFrame, scope_ms: int | None = None, max_rows: int = MAX_GROUP_ROWS) -> Ordered:
+def by_user(readings: DataFrame, scope_ms: int | None = None, max_rows: int | None = None) -> Ordered:
     """Readings grouped by user, and by scope where one is given, in time order."""
     head = max(WARMUP_POSITIONS) + 1
     if scope_ms is None:
@@ -64,7 +64,7 @@ def greedy(data: Ordered, rule: Rule, columns: tuple[str, ...]) -> Ordered:
     """Run a greedy scan over every group; one row per emitted item with ``timeMs`` and ``columns``.
 
     The items of one group (or of one slice of a large group) form one sorted array.  For a large
-    group every slice first states where each possible entry leaves it, those statements are folded
+    group every slice first states where each possible entry leaves it, those statements are followed
     in slice order, and each slice is then scanned from its own entry.
     """
     fields = ("timeMs", *(c for c in columns if c != "timeMs"))
@@ -74,29 +74,17 @@ def greedy(data: Ordered, rule: Rule, columns: tuple[str, ...]) -> Ordered:
     )
     if data.sliced:
         packed = cut(packed)
-        entry = _entries(packed, data, rule)
-        packed = packed.join(entry, list(data.part), "left")
+        large = packed.filter(F.col("slices") > 1).select(*data.part, F.col("items.timeMs").alias("times"))
+        moves = large.withColumn("move", transitions(F.col("times"), rule)).select(*data.part, "move.*")
+        packed = packed.join(entry_anchors(moves, data.keys, rule), list(data.part), "left")
     else:
-        packed = packed.withColumn("anchor", F.lit(None).cast("bigint"))
-    places = emitted_positions(F.col("items.timeMs"), F.col("anchor"), rule)
+        packed = packed.withColumn("anchor", F.lit(NO_ANCHOR))
+    places = emitted_positions(F.col("items.timeMs"), F.coalesce("anchor", F.lit(NO_ANCHOR)), rule)
     taken = F.transform("places", lambda p: F.get("items", p))
     emitted = packed.withColumn("places", places).select(*group, F.explode(taken).alias("item"))
     return data.with_rows(emitted.select(*group, "item.*"))
 
 
-def _entries(packed: DataFrame, data: Ordered, rule: Rule) -> DataFrame:
-    """Anchor with which the scan enters each slice of the large groups."""
-    large = packed.filter(F.col("slices") > 1).select(*data.part, F.col("items.timeMs").alias("times"))
-    moves = large.withColumn("exits", exit_anchors(F.col("times"), rule)).select(
-        *data.keys,
-        F.struct("slice", F.slice("times", F.lit(1), F.size("exits") - 1).alias("heads"), "exits").alias("move"),
-    )
-    folded = moves.groupBy(*data.keys).agg(F.array_sort(F.collect_list("move")).alias("moves"))
-    return folded.select(*data.keys, F.explode(entry_anchors(F.col("moves"), rule)).alias("e")).select(
-        *data.keys, F.col("e.slice").alias("slice"), F.col("e.anchor").alias("anchor")
-    )
-
-
 def cycle_peaks(data: Ordered, cycle_ms: int = CYCLE_MS, skip_warmup: bool = True) -> Ordered:
     """The first local maximum more than ``cycle_ms`` after the anchor, which then restarts; see ``Rule``.
 

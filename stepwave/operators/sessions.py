@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .joins import join_frequent
-from .ordered import MAX_GROUP_ROWS, Ordered, in_order, with_context
+from .ordered import Ordered, in_order, with_context
 
 ORDER = ("timeMs", "index")
 
@@ -21,7 +21,7 @@ def is_kind(kind: str) -> Column:
     return F.col("kind") == kind
 
 
-def events_by_user(events: DataFrame, max_rows: int = MAX_GROUP_ROWS, key: str = "userID") -> Ordered:
+def events_by_user(events: DataFrame, max_rows: int | None = None, key: str = "userID") -> Ordered:
     return in_order(events, (key,), ORDER, max_rows)
 
 
@@ -43,21 +43,21 @@ def numbered_in_session(data: Ordered, name: str) -> DataFrame:
     return with_context(sessions, running={name: F.lit(1)}).rows
 
 
-def session_points(events: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def session_points(events: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Every point with its session and its running number there, from 1."""
     data = with_sessions(events_by_user(events, max_rows))
     rows = numbered_in_session(data.with_rows(data.rows.filter(is_kind("point"))), "counter")
     return rows.select("userID", "session_no", "counter", "index", "timeMs")
 
 
-def session_messages(events: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def session_messages(events: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Messages per connection; the closing stop is not counted."""
     data = with_sessions(events_by_user(events, max_rows))
     counted = F.count_if(~is_kind("stop")).alias("n_messages")
     return data.rows.groupBy("userID", "session_no").agg(counted)
 
 
-def online_users(events: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def online_users(events: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Users with a point since their last stop, with the open session and its number of points."""
     rows = with_sessions(events_by_user(events, max_rows)).rows
     held = rows.filter(is_kind("point") & (F.col("session_no") == F.col("n_stops")))
@@ -71,23 +71,23 @@ def online_ids(events: DataFrame) -> DataFrame:
     return last.filter(is_kind("point")).select("userID")
 
 
-def known_only(inferences: DataFrame, online: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def known_only(inferences: DataFrame, online: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Inferences of users that are online."""
     return join_frequent(inferences, online, ["userID"], "left_semi", max_rows)
 
 
-def unknown_only(inferences: DataFrame, online: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def unknown_only(inferences: DataFrame, online: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Inferences of users that are not online."""
     return join_frequent(inferences, online, ["userID"], "left_anti", max_rows)
 
 
-def attributed(events: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def attributed(events: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Inferences with ``accepted``: whether their user was online when they arrived."""
     rows = with_sessions(events_by_user(events, max_rows)).rows.filter(is_kind("inference"))
     return rows.drop("n_stops", "slice", "slices").withColumnRenamed("online", "accepted")
 
 
-def inference_lists(events: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def inference_lists(events: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Accepted inferences in arrival order, numbered per user and session; ``open`` marks the lists still held."""
     data = with_sessions(events_by_user(events, max_rows))
     accepted = data.with_rows(data.rows.filter(is_kind("inference") & F.col("online")))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.ordered import MAX_GROUP_ROWS
 from ..operators.peaks import by_user
 from ..operators.resample import resampled, samples
 from ..operators.scoring import centroids, few_classes, named, score_centroids, with_choice
@@ -18,7 +17,7 @@ def group_keys(scope_ms: int | None) -> tuple[str, ...]:
 
 
 def grid_points(
-    readings: DataFrame, scope_ms: int | None = None, cycle_ms: int = CYCLE_MS, max_rows: int = MAX_GROUP_ROWS
+    readings: DataFrame, scope_ms: int | None = None, cycle_ms: int = CYCLE_MS, max_rows: int | None = None
 ) -> DataFrame:
     """One row per segment and grid point."""
     data = by_user(readings, scope_ms, max_rows)
@@ -26,7 +25,7 @@ def grid_points(
 
 
 def sample_vectors(
-    readings: DataFrame, scope_ms: int | None = None, cycle_ms: int = CYCLE_MS, max_rows: int = MAX_GROUP_ROWS
+    readings: DataFrame, scope_ms: int | None = None, cycle_ms: int = CYCLE_MS, max_rows: int | None = None
 ) -> DataFrame:
     """One row per segment with one fixed-length vector per axis."""
     return samples(grid_points(readings, scope_ms, cycle_ms, max_rows), group_keys(scope_ms))

@@ -2,6 +2,7 @@ import pytest
 from compare import database, spark_rows, sql_rows
 
 from __spark_entry__ import entry, oracle_sql, queries
+from stepwave.operators.ordered import MAX_GROUP_ROWS_SETTING
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +24,25 @@ def test_query_matches_sql(spark, sf_dir, connection, name):
     assert rows
 
 
+SLICED = [
+    "local_maxima", "cycle_peaks_day_gap", "cycle_peaks_scoped", "cycle_strongest", "cycle_numbers", "segments",
+    "group_counts", "resampled_vectors", "score_names", "inference_accepted", "inference_known_users",
+    "inference_unknown_users", "inference_lists", "online_users", "session_points", "session_messages",
+    "live_front_after_stop", "decimate_nth", "throttle_gap",
+]
+
+
+@pytest.mark.parametrize("name", SLICED)
+def test_query_with_large_groups_matches_sql(spark, sf_dir, connection, name):
+    """The same queries with most users far above the group limit."""
+    spark.conf.set(MAX_GROUP_ROWS_SETTING, "15")
+    try:
+        found = spark_rows(queries()[name](spark, sf_dir))
+    finally:
+        spark.conf.unset(MAX_GROUP_ROWS_SETTING)
+    assert found == sql_rows(connection, oracle_sql()[name])
+
+
 def test_entry(spark):
     rows = entry(spark)
     assert rows.columns == ["userID", "segment_no", "accX", "accY", "accZ"]
