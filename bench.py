@@ -51,7 +51,9 @@ def main() -> None:
         seconds[name] = round(time.perf_counter() - begin, 3)
     spark.stop()
     total = round(sum(seconds.values()), 3)
-    print(json.dumps({"metric": "headline_total", "value": total, "unit": "sec", "queries": seconds, "sf": folder}))
+    scale = os.path.basename(folder.rstrip("/")).removeprefix("sf")
+    scale = float(scale) if scale.replace(".", "").isdigit() else folder
+    print(json.dumps({"metric": "headline_total", "value": total, "unit": "sec", "queries": seconds, "sf": scale}))
 
 
 if __name__ == "__main__":

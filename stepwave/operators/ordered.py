@@ -26,12 +26,16 @@ ACCURACY = 2_000
 
 @dataclass(frozen=True)
 class Ordered:
-    """Rows with their group keys and the total order inside a group; ``order[0]`` is the time."""
+    """Rows with their group keys and the total order inside a group; ``order[0]`` is the time.
+
+    ``large`` may give the rows of the sliced groups by a shorter way than filtering ``rows``.
+    """
 
     rows: DataFrame
     keys: tuple[str, ...]
     order: tuple[str, ...]
     sliced: bool = False
+    large: DataFrame | None = None
 
     @property
     def part(self) -> tuple[str, ...]:
@@ -46,7 +50,7 @@ class Ordered:
         return Window.partitionBy(*self.part).orderBy(*self.order)
 
     def with_rows(self, rows: DataFrame) -> "Ordered":
-        return replace(self, rows=rows)
+        return replace(self, rows=rows, large=None)
 
 
 def group_limit(df: DataFrame, max_rows: int | None) -> int:
@@ -59,7 +63,7 @@ def group_limit(df: DataFrame, max_rows: int | None) -> int:
 def in_order(rows: DataFrame, keys, order, max_rows: int | None = None, head: int = 0) -> Ordered:
     """Prepare ``rows`` for the operators below, slicing the groups that exceed ``max_rows``.
 
-    With ``head`` the rows of a sliced group also carry ``head``: the order keys of its first rows.
+    With ``head`` the first rows of a sliced group carry ``place``, their position from 0.
     """
     keys, order, max_rows = tuple(keys), tuple(order), group_limit(rows, max_rows)
     large = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_rows)
@@ -77,6 +81,9 @@ def in_order(rows: DataFrame, keys, order, max_rows: int | None = None, head: in
         salted = starts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         salt = F.pmod(F.xxhash64(*order), F.lit(SALTS)).cast("int")
         joined = rows.withColumn("salt", salt).join(salted, [*keys, "salt"], "left").drop("salt")
+    if head:
+        place = F.nullif(F.array_position("head", F.struct(*order)), F.lit(0)) - 1
+        joined = joined.withColumn("place", place.cast("int")).drop("head")
     return Ordered(_with_slice(joined, order[0]), keys, order, sliced=True)
 
 
@@ -153,8 +160,9 @@ def with_context(
         return data.with_rows(rows)
 
     position = F.struct(*data.order)
+    source = data.rows if data.large is None else data.large
     summary = (
-        data.rows.filter(F.col("slices") > 1)
+        source.filter(F.col("slices") > 1)
         .groupBy(*data.part)
         .agg(
             F.count(F.lit(1)).alias("_rows"),

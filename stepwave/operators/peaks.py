@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,17 +35,12 @@ def without_warmup(data: Ordered, positions=WARMUP_POSITIONS) -> Ordered:
     if not data.sliced:
         kept = data.rows.withColumn("_position", position).filter(~F.col("_position").isin(*positions))
         return data.with_rows(kept.drop("_position"))
-    key = F.struct(*data.order)
-    hidden = F.lit(False)
-    for p in positions:
-        hidden = hidden | F.coalesce(F.get("head", p) == key, F.lit(False))
-    kept = (
-        data.rows.withColumn("_position", position)
-        .filter((F.col("slices") > 1) | ~F.col("_position").isin(*positions))
-        .filter(~hidden)
-        .drop("_position")
+    # Sliced groups know the place of their first rows, so theirs go before any shuffle.
+    shown = data.rows.filter(F.col("place").isNull() | ~F.col("place").isin(*positions)).drop("place")
+    kept = shown.withColumn("_position", position).filter(
+        (F.col("slices") > 1) | ~F.col("_position").isin(*positions)
     )
-    return data.with_rows(kept)
+    return replace(data, rows=kept.drop("_position"), large=shown)
 
 
 def local_maxima(data: Ordered, skip_warmup: bool = True) -> Ordered:

@@ -51,7 +51,7 @@ def segments(data: Ordered, cycle_ms: int = CYCLE_MS) -> DataFrame:
     """The readings of every segment with its number and its first and last time; most readings appear twice."""
     bounds = segment_bounds(cycle_peaks(data, cycle_ms))
     marked = with_cycles(data, bounds, {"opened": F.col("opened"), "divided": F.col("divided")}).rows
-    kept = [c for c in data.rows.columns if c not in ("slice", "slices", "head")]
+    kept = [c for c in data.rows.columns if c not in ("slice", "slices", "place")]
     both = F.filter(F.array("divided", "opened"), lambda s: s.isNotNull())
     return marked.select(*kept, F.explode(both).alias("segment")).select(*kept, "segment.*")
 

@@ -18,14 +18,20 @@ def relay(readings: DataFrame, path: str, mode: str = "append") -> None:
     readings.select(to_line().alias("value")).write.mode(mode).text(path)
 
 
-def export_sessions(points: DataFrame, path: str, mode: str = "append") -> None:
-    """Points of closed sessions as CSV under ``uuid=...``.
+def export_sessions(points: DataFrame, path: str, mode: str = "append", folders: int | None = None) -> None:
+    """Points of closed sessions as CSV under ``uuid=...``, or under ``folder=...`` where there are too
+    many sessions for a folder each.
 
     Range partitioning keeps each session's files in time order and lets a long session span several
     tasks.  ``path`` may be any Hadoop path, so an object store needs no client of its own.
     """
-    ordered = points.repartitionByRange("uuid", "timeMs", "index").sortWithinPartitions("uuid", "timeMs", "index")
-    ordered.select("uuid", *READING_FIELDS).write.mode(mode).partitionBy("uuid").csv(path, header=True)
+    by, columns = ["uuid"], ["uuid", *READING_FIELDS]
+    if folders is not None:
+        points = points.withColumn("folder", F.pmod(F.xxhash64("uuid"), F.lit(folders)))
+        by, columns = ["folder"], ["folder", *columns]
+    order = [*by, "uuid", "timeMs", "index"] if folders is not None else ["uuid", "timeMs", "index"]
+    ordered = points.repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered.select(*columns).write.mode(mode).partitionBy(*by).csv(path, header=True)
 
 
 def write_inferences(scored: DataFrame, path: str, batch: int | None = None) -> None:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..operators.peaks import scoped
+from ..operators.scoring import score_centroids, with_choice
 from ..plans.pipeline import grid_points
 from ..schema import CYCLE_MS, READING_FIELDS, SCOPE_MS
 from ..sources import lines
@@ -52,8 +52,12 @@ def each_batch(
     """
 
     def run(batch: DataFrame, number: int) -> None:
-        if not batch.isEmpty():
-            sink(transform(batch) if transform else batch, number)
+        batch.persist()  # The operators look at the batch more than once.
+        try:
+            if not batch.isEmpty():
+                sink(transform(batch) if transform else batch, number)
+        finally:
+            batch.unpersist()
 
     writer = readings.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     if interval_ms is None:
@@ -63,7 +67,7 @@ def each_batch(
 
 def grid_per_scope(cycle_ms: int = CYCLE_MS, scope_ms: int = SCOPE_MS) -> Callable[[DataFrame], DataFrame]:
     """Transform for complete scopes: grid points per scope and user, the same rows as over the whole table."""
-    return lambda batch: grid_points(batch.drop("scope"), scope_ms, cycle_ms)
+    return lambda batch: grid_points(batch, scope_ms, cycle_ms)
 
 
 def grid_per_batch(cycle_ms: int = CYCLE_MS) -> Callable[[DataFrame], DataFrame]:
@@ -71,5 +75,9 @@ def grid_per_batch(cycle_ms: int = CYCLE_MS) -> Callable[[DataFrame], DataFrame]
     return lambda batch: grid_points(batch, None, cycle_ms)
 
 
-def with_scope(readings: DataFrame, scope_ms: int = SCOPE_MS) -> DataFrame:
-    return scoped(readings, scope_ms)
+def scores_per_scope(
+    centers: DataFrame, broadcast: bool, cycle_ms: int = CYCLE_MS, scope_ms: int = SCOPE_MS
+) -> Callable[[DataFrame], DataFrame]:
+    """Transform for complete scopes: one scored row per segment, from stored centroids."""
+    points = grid_per_scope(cycle_ms, scope_ms)
+    return lambda batch: with_choice(score_centroids(points(batch), centers, ("scope", "userID"), broadcast))

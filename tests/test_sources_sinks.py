@@ -73,6 +73,15 @@ def test_session_export(spark, tmp_path):
     assert lines.reading_files(spark, str(tmp_path / "x" / "uuid=id-t")).count() == 40
 
 
+def test_session_export_into_few_folders(spark, tmp_path):
+    rows = walk(3, {f"s{i}": 6 for i in range(30)})
+    points = frame(spark, rows).withColumn("uuid", F.col("userID"))
+    export_sessions(points, str(tmp_path / "x"), folders=4)
+    assert len([p for p in (tmp_path / "x").iterdir() if p.name.startswith("folder=")]) <= 4
+    back = spark.read.csv(str(tmp_path / "x"), header=True)
+    assert back.count() == len(rows) and back.select("uuid").distinct().count() == 30
+
+
 def test_feed_cursor_and_messages(spark):
     data = feed.live_feed(frame(spark, [reading(i, "u", i, 9.787669) for i in range(5)]))
     message = json.loads(feed.as_messages(data).filter("timeMs = 3").first().message)

@@ -6,8 +6,10 @@ import pytest
 from data import connection_events, events, frame, walk
 from pyspark.sql import functions as F
 
+from stepwave.operators import scoring
 from stepwave.plans.pipeline import grid_points
 from stepwave.schema import READING_FIELDS
+from stepwave.session import cut
 from stepwave.sinks.writers import to_line, write_inferences
 from stepwave.sources import lines
 from stepwave.streaming import lifecycle, scopes
@@ -69,6 +71,31 @@ def test_complete_scopes_match_batch(spark, rows, tmp_path):
     assert found.count() == len(got)
 
 
+def test_lines_to_inferences(spark, rows, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    closing = f"999999, closer, {max(r['timeMs'] for r in rows) + 10 * SCOPE}, 0, 0, 0, 0\n"
+    chunked(source, [*chunks_of(rows, 400), closing, "\n"])
+    classes = spark.createDataFrame([("a", 1), ("b", 2)], "userID string, class int")
+    points = grid_points(frame(spark, rows), SCOPE, 1000)
+    centers = cut(scoring.centroids(points, classes))
+    stream = scopes.readings_of(lines.line_stream(spark, str(source), max_files=1))
+    out = str(tmp_path / "out")
+    query = scopes.each_batch(
+        scopes.complete_scopes(stream, SCOPE),
+        lambda df, n: write_inferences(df, out, n),
+        str(tmp_path / "checkpoint"),
+        scopes.scores_per_scope(centers, True, 1000, SCOPE),
+        None,
+    ).start()
+    assert query.awaitTermination(300)
+    scored = scoring.with_choice(scoring.score_centroids(points, centers, ("scope", "userID"), True))
+    expected = sorted((r.userID, r.inferred_user_id, round(r.confidency, 9)) for r in scored.collect())
+    found = spark.read.parquet(out).collect()
+    assert expected
+    assert sorted((r.actual_user_id, r.inferred_user_id, round(r.confidency, 9)) for r in found) == expected
+
+
 def test_batch_as_scope_and_restart(spark, rows, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
