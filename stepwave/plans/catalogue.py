@@ -183,9 +183,9 @@ def group_counts(spark, d):
 
 
 def too_short_segments(spark, d):
-    """Segments of the whole table with clocks slowed down a million times, so that some have no grid."""
-    readings = tables.readings(spark, d).withColumn("timeMs", F.expr("timeMs div 1000000L"))
-    return resample.too_short(segments.segments(peaks.by_user(readings), 10), KEYS)
+    """Segments of the whole table with clocks slowed down four million times, so that many have no grid."""
+    readings = tables.readings(spark, d).withColumn("timeMs", F.expr("timeMs div 4000000L"))
+    return resample.too_short(segments.segments(peaks.by_user(readings), 2), KEYS)
 
 
 # Resampling

@@ -225,7 +225,7 @@ ORACLE: dict[str, str] = {
     ),
     "too_short_segments": with_readings(
         ' SELECT DISTINCT "userID", segment_no, first_ms, last_ms FROM gs WHERE last_ms - first_ms < 128',
-        segment_rows(10, None, '"timeMs" // 1000000'),
+        segment_rows(2, None, '"timeMs" // 4000000'),
     ),
     "resampled_long": with_readings(f' SELECT "userID", segment_no, k, {AXES3} FROM f', grid()),
     "resampled_long_day_gap": with_readings(f' SELECT "userID", segment_no, k, {AXES3} FROM f', grid(DAY_MS)),
