@@ -15,9 +15,9 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 @pytest.fixture(scope="session")
 def spark():
     builder = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master("local[4]")
         .appName("stepwave-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "4g")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="stepwave-tests-"))
         .config(
