@@ -14,7 +14,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def epoch_ms(ts: Column) -> Column:
     """Epoch milliseconds of a zone-free timestamp, whatever the session zone is."""
-    return F.unix_millis(F.to_utc_timestamp(ts.cast("timestamp"), F.current_timezone()))
+    return F.unix_millis(F.from_utc_timestamp(ts.cast("timestamp"), F.current_timezone()))
 
 
 def readings(spark: SparkSession, folder: str, *extra: Column) -> DataFrame:

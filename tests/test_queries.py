@@ -43,6 +43,16 @@ def test_query_with_large_groups_matches_sql(spark, sf_dir, connection, name):
     assert found == sql_rows(connection, oracle_sql()[name])
 
 
+@pytest.mark.parametrize("name", ["cycle_peaks", "session_points", "resampled_vectors"])
+def test_session_zone_does_not_matter(spark, sf_dir, connection, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        found = spark_rows(queries()[name](spark, sf_dir))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert found == sql_rows(connection, oracle_sql()[name])
+
+
 def test_entry(spark):
     rows = entry(spark)
     assert rows.columns == ["userID", "segment_no", "accX", "accY", "accZ"]
