@@ -78,12 +78,14 @@ def parse_damaged_good(spark, d):
 
 
 def line_keys(spark, d):
-    keyed = lines_of(spark, d).select(lines.user_of(F.col("value")).alias("userID"))
-    return keyed.groupBy("userID").agg(F.count(F.lit(1)).alias("n_lines"))
+    return lines.keyed(lines_of(spark, d)).groupBy("userID").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
 def messages_of(spark: SparkSession, folder: str) -> DataFrame:
-    """One JSON message per event: connects, stops and point messages with an empty point beside the real one."""
+    """One JSON message per event: connects, stops and point messages with an empty point beside the real one.
+
+    About half of the stops name no user.
+    """
     rows = tables.readings(spark, folder, tables.event_kind()).withColumn("line", to_line())
     event = (
         F.when(F.col("kind") == "connect", EVENT_CONNECT)
@@ -94,14 +96,14 @@ def messages_of(spark: SparkSession, folder: str) -> DataFrame:
     points = F.when(F.col("kind") == "point", F.array(F.lit(""), F.col("line")))
     data = F.struct(
         F.col("userID").alias("uuid"),
-        F.when(F.col("kind") == "stop", F.col("userID")).alias("userid"),
+        F.when((F.col("kind") == "stop") & (F.col("accY") < 50), F.col("userID")).alias("userid"),
         points.alias(POINTS_FIELD),
     )
-    return rows.select(F.to_json(F.struct(event.alias("event"), data.alias("data"))).alias("value"))
+    return rows.select("index", F.to_json(F.struct(event.alias("event"), data.alias("data"))).alias("value"))
 
 
 def envelope_points(spark, d):
-    rows = envelopes.points(envelopes.decoded(messages_of(spark, d)))
+    rows = envelopes.points(envelopes.decoded(messages_of(spark, d)).drop("index"))
     parsed = lines.parsed(rows.withColumn("value", F.col("point")))
     return parsed.select("uuid", "pos", "index", "userID", "timeMs", rounded(F.col("vSum")).alias("vSum"))
 
@@ -111,6 +113,12 @@ def envelope_routes(spark, d):
     return events.groupBy("uuid", "route").agg(F.count(F.lit(1)).alias("n_messages"))
 
 
+def envelope_sessions(spark, d):
+    """Session points straight from messages that arrive in the order of the events."""
+    events = envelopes.connection_events(envelopes.decoded(messages_of(spark, d)), arrival="index")
+    return sessions.session_points(events).select("userID", "session_no", "counter", F.col("timeMs").alias("arrival"))
+
+
 def points_xyz4(spark, d):
     readings = tables.readings(spark, d)
     text = F.concat_ws(", ", *(F.col(c).cast("string") for c in ("timeMs", *AXES))).alias("point")
@@ -400,6 +408,7 @@ QUERIES: dict[str, Query] = {
     "line_keys": line_keys,
     "envelope_points": envelope_points,
     "envelope_routes": envelope_routes,
+    "envelope_sessions": envelope_sessions,
     "points_xyz4": points_xyz4,
     "vector_norm": vector_norm,
     "local_maxima": local_maxima,

@@ -184,6 +184,20 @@ ORACLE: dict[str, str] = {
                                ELSE 'gait' END AS route,
                count(*) AS n_messages
         FROM events GROUP BY 1, 2""",
+    "envelope_sessions": """
+        WITH j AS (
+          SELECT e.event_id, CAST(e.user_id AS VARCHAR) AS "userID", event_type IN ('click', 'purchase') AS is_point,
+                 CAST(json_extract_string(props, '$.k') AS DOUBLE) < 50
+                   OR bool_or(event_type IN ('click', 'purchase')) OVER before AS named
+          FROM events e
+          WINDOW before AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+        c AS (
+          SELECT j.*, count(*) FILTER (event_type = 'error' AND named) OVER (PARTITION BY "userID" ORDER BY j.event_id
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS session_no
+          FROM j JOIN events USING (event_id))
+        SELECT "userID", session_no, event_id AS arrival,
+               row_number() OVER (PARTITION BY "userID", session_no ORDER BY event_id) AS counter
+        FROM c WHERE is_point""",
     "points_xyz4": with_readings(f" SELECT {READING_OUT} FROM r"),
     "vector_norm": with_readings(f""" SELECT "index", {r6('"vSum"')} AS "vSum" FROM r"""),
     "local_maxima": _maxima_out(True),

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import join_frequent
+from ..operators.ordered import in_order, with_context
 from ..schema import CONFIDENCE_FIELD, ENVELOPE, EVENT_CONNECT, EVENT_POINTS, EVENT_STOP, INFERENCE_WIRE, POINTS_FIELD
+from .lines import user_of
 
 
 def decoded(messages: DataFrame, column: str = "value") -> DataFrame:
@@ -67,11 +68,28 @@ def order_violations(message_points: DataFrame, field: int = 0) -> DataFrame:
     return checked.filter(F.col("current") < F.col("last"))
 
 
-def stops_with_user(stop_events: DataFrame, seen: DataFrame) -> DataFrame:
-    """Fill a missing ``userid`` of a stop with the user last seen under its ``uuid`` (``seen``: uuid, userID, timeMs)."""
-    users = seen.groupBy("uuid").agg(F.max_by("userID", "timeMs").alias("_seen"))
-    joined = join_frequent(stop_events, users, ["uuid"], "left")
-    return joined.withColumn("userid", F.coalesce("userid", "_seen")).drop("_seen")
+def connection_events(events: DataFrame, arrival: str = "arrival", fill_users: bool = True) -> DataFrame:
+    """Points, stops and connects as ``userID, index, timeMs, kind``, the input of the session operators.
+
+    ``timeMs`` is the message's arrival and ``index`` the place of the point in it.  A stop may name no
+    user; with ``fill_users`` it closes the user last seen under its ``uuid``.
+    """
+
+    def rows_of(user: Column, kind: str, place: Column) -> Column:
+        return F.struct(place.cast("bigint").alias("index"), user.alias("userID"), F.lit(kind).alias("kind"))
+
+    filled = F.filter("points", lambda p: F.length(p) > 0)
+    rows = (
+        F.when(F.col("event") == EVENT_POINTS, F.transform(filled, lambda p, i: rows_of(user_of(p), "point", i)))
+        .when(F.col("event") == EVENT_STOP, F.array(rows_of(F.col("userid"), "stop", F.lit(0))))
+        .when(F.col("event") == EVENT_CONNECT, F.array(rows_of(F.col("uuid"), "connect", F.lit(0))))
+    )
+    flat = events.select("uuid", F.col(arrival).alias("timeMs"), F.inline(rows))
+    if fill_users:
+        seen = F.when(F.col("kind") == "point", F.col("userID"))
+        flat = with_context(in_order(flat, ("uuid",), ("timeMs", "index")), carry={"seen": seen}).rows
+        flat = flat.withColumn("userID", F.coalesce("userID", "seen"))
+    return flat.select("userID", "index", "timeMs", "kind")
 
 
 def inferences(records: DataFrame, column: str = "value") -> DataFrame:

@@ -37,6 +37,11 @@ def user_of(line: Column) -> Column:
     return F.trim(field(F.split(line, ","), 1), F.lit(BLANKS))
 
 
+def keyed(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Each line beside the user it belongs to."""
+    return lines.withColumn("userID", user_of(F.col(column)))
+
+
 def _typed(lines: DataFrame, line: str, kinds: dict[str, str]) -> DataFrame:
     """Add the comma-separated fields of ``line`` with the given types, and ``_suffix``.
 

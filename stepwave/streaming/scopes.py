@@ -13,6 +13,7 @@ from ..plans.pipeline import grid_points
 from ..schema import CYCLE_MS, READING_FIELDS, SCOPE_MS
 from ..sources import lines
 
+HELD_PARTS = 16
 Sink = Callable[[DataFrame, int], None]
 
 
@@ -29,10 +30,12 @@ def complete_scopes(readings: DataFrame, scope_ms: int = SCOPE_MS, delay_ms: int
     """Hold readings in state until their scope is over, then pass them on together.
 
     A scope is over once a reading more than ``delay_ms`` past its end has been seen; what arrives
-    for it afterwards is late and dropped by the watermark.  State per user is one scope of readings.
+    for it afterwards is late and dropped by the watermark.  The readings of a user's scope are held in
+    ``HELD_PARTS`` salted parts, so that a busy user's state is spread; all parts close together.
     """
     timed = readings.withColumn("_ts", F.timestamp_millis("timeMs")).withWatermark("_ts", f"{delay_ms} milliseconds")
-    held = timed.groupBy(F.window("_ts", f"{scope_ms} milliseconds"), "userID").agg(
+    part = F.pmod(F.xxhash64("timeMs", "index"), F.lit(HELD_PARTS)).alias("part")
+    held = timed.groupBy(F.window("_ts", f"{scope_ms} milliseconds"), "userID", part).agg(
         F.collect_list(F.struct(*READING_FIELDS)).alias("rows")
     )
     return held.select(F.explode("rows").alias("row")).select("row.*")

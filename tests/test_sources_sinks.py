@@ -32,8 +32,13 @@ def test_envelopes(spark):
     assert [r.uuid for r in envelopes.connects(decoded).collect()] == ["q"]
     assert [(r.pos, r.point) for r in envelopes.points(decoded).orderBy("pos").collect()] == [(0, line), (3, line)]
     assert envelopes.others(decoded).count() == 2
-    seen = spark.createDataFrame([("q", "2", 5), ("q", "1", 4)], "uuid string, userID string, timeMs bigint")
-    assert [r.userid for r in envelopes.stops_with_user(envelopes.stops(decoded), seen).collect()] == ["2"]
+    assert [r.uuid for r in envelopes.stops(decoded).collect()] == ["q"]
+    arrived = decoded.withColumn("arrival", F.when(F.col("event") == "connect", 1).when(F.col("event") == "gait", 2).otherwise(3))
+    rows = envelopes.connection_events(arrived.withColumn("arrival", F.col("arrival").cast("bigint")))
+    found = sorted((r.timeMs, r["index"], r.userID, r.kind) for r in rows.collect())
+    assert found == [(1, 0, "q", "connect"), (2, 0, "2", "point"), (2, 1, "2", "point"), (3, 0, "2", "stop")]
+    named = envelopes.connection_events(arrived, fill_users=False).filter("kind = 'stop'")
+    assert [r.userID for r in named.collect()] == [None]
 
 
 def test_four_field_points(spark):
