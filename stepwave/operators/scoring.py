@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import best_class, confidence, tensor
-from ..schema import AXES, CONFIDENCE_FIELD, GRID_POINTS, ZERO_CHANNELS
+from ..schema import AXES, CONFIDENCE_FIELD, DECIMAL_PLACES, GRID_POINTS, ZERO_CHANNELS
 from .joins import has_at_most, join_dimension
 
 # Workers get this module's functions themselves, so they need not have the package installed.
@@ -23,7 +23,9 @@ TENSOR_CHANNELS = len(AXES) + ZERO_CHANNELS
 
 
 def with_tensor(samples: DataFrame) -> DataFrame:
-    return samples.withColumn("tensor", tensor(*(F.col(a) for a in AXES)))
+    """Add the model's input, from axis values rounded as in their text form."""
+    rounded = (F.transform(a, lambda v: F.round(v, DECIMAL_PLACES)) for a in AXES)
+    return samples.withColumn("tensor", tensor(*rounded))
 
 
 def with_choice(scored: DataFrame) -> DataFrame:

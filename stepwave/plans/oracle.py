@@ -257,7 +257,7 @@ ORACLE: dict[str, str] = {
     ),
     "tensor_shape": with_readings(
         f""" SELECT "userID", segment_no, CAST(count(*) AS INTEGER) AS n_points, 6 AS n_channels,
-        {_coarse_sums('"{a}"')}, CAST(0 AS DOUBLE) AS sum_zero FROM f GROUP BY 1, 2""",
+        {_coarse_sums('round("{a}", 8)')}, CAST(0 AS DOUBLE) AS sum_zero FROM f GROUP BY 1, 2""",
         grid(),
     ),
     "class_centroids": with_readings(
