@@ -63,9 +63,11 @@ def group_limit(df: DataFrame, max_rows: int | None) -> int:
 def in_order(rows: DataFrame, keys, order, max_rows: int | None = None, head: int = 0) -> Ordered:
     """Prepare ``rows`` for the operators below, slicing the groups that exceed ``max_rows``.
 
-    With ``head`` the first rows of a sliced group carry ``place``, their position from 0.
+    Rows without a key or a time belong to no group and are left out.  With ``head`` the first rows of a
+    sliced group carry ``place``, their position from 0.
     """
     keys, order, max_rows = tuple(keys), tuple(order), group_limit(rows, max_rows)
+    rows = rows.dropna(subset=[*keys, order[0]])
     large = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_rows)
     sample = large.limit(MAX_BROADCAST_GROUPS + 1).collect()
     if not sample:

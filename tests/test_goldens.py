@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from data import events, first_fixture, frame, reading
+from data import events, first_fixture, frame
 from pyspark.sql import functions as F
 
 from stepwave.functions.vectors import best_class, confidence, from_text, norm, tensor, to_text

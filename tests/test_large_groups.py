@@ -125,6 +125,17 @@ def test_sessions(spark, seed, max_rows):
     assert online == {r.userID for r in sessions.online_ids(data).collect()}
 
 
+@pytest.mark.parametrize("max_rows", [1000, 8])
+def test_rows_without_user_and_empty_input(spark, max_rows):
+    rows = walk(6, {"a": 40})
+    nobody = [{**r, "userID": None, "index": 1000 + r["index"]} for r in rows]
+    data = peaks.by_user(frame(spark, rows + nobody), None, max_rows)
+    found = sorted(((r.userID,), r["index"]) for r in peaks.cycle_peaks(data, 300).rows.collect())
+    assert found == ids({k: plain.cycle_peaks(g, 300) for k, g in plain.grouped(rows).items()})
+    assert pipeline.sample_vectors(frame(spark, []), None, 300, max_rows).count() == 0
+    assert sessions.session_points(events(spark, []), max_rows).count() == 0
+
+
 def test_many_large_groups_without_broadcast(spark, monkeypatch):
     monkeypatch.setattr(ordered, "MAX_BROADCAST_GROUPS", 1)
     rows = walk(5, {"p": 200, "q": 150, "r": 100, "s": 4})
