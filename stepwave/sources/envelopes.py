@@ -51,9 +51,10 @@ def points(events: DataFrame) -> DataFrame:
     filled = events.filter(F.col("event") == EVENT_POINTS).select(
         *kept, F.filter(placed, lambda p: F.length(p["point"]) > 0).alias("_points")
     )
+    before = lambda i: F.get("_points", i - 1)["point"]
     linked = F.transform(
         "_points",
-        lambda p, i: F.struct(p["pos"].alias("pos"), p["point"].alias("point"), F.get("_points", i - 1)["point"].alias("previous")),
+        lambda p, i: F.struct(p["pos"].alias("pos"), p["point"].alias("point"), before(i).alias("previous")),
     )
     return filled.select(*kept, F.inline(linked))
 
