@@ -2,7 +2,7 @@
 
 SUBSTRING_DEDUP = r"""
 WITH d AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), x -> x <> '') AS w FROM documents
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w FROM documents
 ), starts AS (
   SELECT doc_id, i, sha256(array_to_string(w[i:i + 34], ' ')) AS h
   FROM d, unnest(range(1, len(w) - 33)) AS t(i) WHERE len(w) >= 35

@@ -20,6 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 PACK_BYTES = 4 << 20
 BUCKET_BYTES = 8 << 20
@@ -62,72 +63,63 @@ def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def cut_by_bytes(batches: Iterator[pa.RecordBatch], size: int = PACK_BYTES) -> Iterator[tuple[list, np.ndarray, list[bytes]]]:
+    """Groups of whole documents of about ``size`` bytes: keys, lengths, and their bytes with a line feed after each."""
+    keys, lens, parts, total = [], [], [], 0
+    for batch in batches:
+        data, offsets = texts(batch.column(1))
+        for i, name in enumerate(batch.column(0).to_pylist()):
+            keys.append(name)
+            lens.append(int(offsets[i + 1] - offsets[i]))
+            parts += (data[offsets[i] : offsets[i + 1]].tobytes(), b"\n")
+            total += lens[-1]
+            if total >= size or len(lens) >= 65536:
+                yield keys, np.array(lens, np.int64), parts
+                keys, lens, parts, total = [], [], [], 0
+    if lens:
+        yield keys, np.array(lens, np.int64), parts
+
+
+def keyed_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").cast("string").alias("t"))
+
+
 def packed(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = PACK_BYTES) -> DataFrame:
     """Store ``docs`` as packs: ``pack``, ``keys`` (one per document, nulls kept), ``lens``, ``size``, ``body``.
 
     A null text counts as an empty one. Each document ends with a line feed that is not counted in ``lens``.
     """
     kind = docs.schema[key].dataType
+    keys_type = pa.list_(to_arrow_type(kind))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3)
-        base, count = TaskContext.get().partitionId() << 32, 0
-        keys, lens, parts, total = [], [], [], 0
-
-        def flush():
-            nonlocal count, keys, lens, parts, total
-            body = squeeze.compress(b"".join(parts))
-            row = pa.RecordBatch.from_arrays(
-                [
-                    pa.array([base | count], pa.int64()),
-                    pa.array([keys], schema.field("keys").type),
-                    pa.array([np.array(lens, np.int64).tobytes()], pa.binary()),
-                    pa.array([total], pa.int64()),
-                    pa.array([body], pa.binary()),
-                ],
-                schema=schema,
-            )
-            count, keys, lens, parts, total = count + 1, [], [], [], 0
-            return row
+        base = TaskContext.get().partitionId() << 32
+        for count, (keys, lens, parts) in enumerate(cut_by_bytes(batches, size)):
+            columns = [
+                pa.array([base | count], pa.int64()),
+                pa.array([keys], keys_type),
+                pa.array([lens.tobytes()], pa.binary()),
+                pa.array([int(lens.sum())], pa.int64()),
+                pa.array([squeeze.compress(b"".join(parts))], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["pack", "keys", "lens", "size", "body"])
 
-        for batch in batches:
-            schema = pa.schema(
-                [("pack", pa.int64()), ("keys", pa.list_(batch.schema.field(0).type)), ("lens", pa.binary()),
-                 ("size", pa.int64()), ("body", pa.binary())]
-            )
-            data, offsets = texts(batch.column(1))
-            names = batch.column(0).to_pylist()
-            for i, name in enumerate(names):
-                keys.append(name)
-                lens.append(int(offsets[i + 1] - offsets[i]))
-                parts.append(data[offsets[i] : offsets[i + 1]].tobytes())
-                parts.append(b"\n")
-                total += lens[-1]
-                if total >= size or len(lens) >= 65536:
-                    yield flush()
-        if lens:
-            yield flush()
-
-    schema = T.StructType(
-        [
-            T.StructField("pack", T.LongType()),
-            T.StructField("keys", T.ArrayType(kind)),
-            T.StructField("lens", T.BinaryType()),
-            T.StructField("size", T.LongType()),
-            T.StructField("body", T.BinaryType()),
-        ]
-    )
-    rows = docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t"))
-    return stored(rows.mapInArrow(pack, schema), "packs", "none")
+    schema = f"pack long, keys array<{kind.simpleString()}>, lens binary, size long, body binary"
+    return stored(keyed_texts(docs, key, text).mapInArrow(pack, schema), "packs", "none")
+
+
+def begins_of(lens: np.ndarray) -> np.ndarray:
+    """Where documents of these lengths begin when a line feed follows each; one more entry than documents."""
+    begins = np.zeros(len(lens) + 1, np.int64)
+    np.cumsum(lens + 1, out=begins[1:])
+    return begins
 
 
 def opened(body: bytes, lens: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a pack and where its documents begin; one more entry than documents."""
     data = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), np.uint8)
-    sizes = np.frombuffer(lens, np.int64)
-    begins = np.zeros(len(sizes) + 1, np.int64)
-    np.cumsum(sizes + 1, out=begins[1:])
-    return data, begins
+    return data, begins_of(np.frombuffer(lens, np.int64))
 
 
 def per_pack(packs: DataFrame, function: Callable, schema: str) -> DataFrame:
