@@ -2,14 +2,31 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .packing import pack_documents
 from .shared import table
 from .substring_dedup import remove_repeats
+from .tokens import count_tokens
+
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(table(spark, folder, "documents"), window=35, keep_text=False)
 
 
-QUERIES = {"op1_substring_dedup": substring_dedup}
+def token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return count_tokens(table(spark, folder, "documents"), VOCABULARY, limit=2048)
+
+
+def packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(table(spark, folder, "documents"), VOCABULARY, end_id=2, capacity=4096).drop("ids")
+
+
+QUERIES = {
+    "op1_substring_dedup": substring_dedup,
+    "op2_token_counts": token_counts,
+    "op3_packing": packing,
+}
