@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .packing import pack_documents
 from .shared import table
 from .substring_dedup import remove_repeats
+from .suffix_dedup import remove_long_matches
 from .tokens import count_tokens
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -25,8 +26,13 @@ def packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), VOCABULARY, end_id=2, capacity=4096).drop("ids")
 
 
+def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_long_matches(table(spark, folder, "documents"), length=200, keep_text=False)
+
+
 QUERIES = {
     "op1_substring_dedup": substring_dedup,
     "op2_token_counts": token_counts,
     "op3_packing": packing,
+    "op9_suffix_dedup": suffix_dedup,
 }
