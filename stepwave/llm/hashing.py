@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-SEGMENT = 4 << 20
+SEGMENT = 1 << 20
 _RNG = np.random.default_rng(20240229)
 BYTE_VALUES = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BASE = np.uint64(0x9E3779B97F4A7C15)

@@ -19,4 +19,52 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0)
 FROM d LEFT JOIN text_of USING (doc_id)
 """
 
-ORACLE = {"op1_substring_dedup": SUBSTRING_DEDUP}
+DECONTAMINATION = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), item_windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS s
+  FROM b, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS t(i) WHERE len(w) > 0
+), sizes AS (SELECT DISTINCT n FROM item_windows),
+doc_windows AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS s
+  FROM d, sizes, unnest(range(1, greatest(len(w) - n + 2, 1))) AS t(i)
+), found AS (SELECT doc_id, item_id, n, i FROM doc_windows JOIN item_windows USING (n, s)),
+hit AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM found, unnest(range(0, n)) AS t(k) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(list, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+NGRAM_JOIN = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w FROM documents
+), grams AS (
+  SELECT DISTINCT doc_id, hash(array_to_string(w[i:i + 4], ' ')) AS g
+  FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS t(i) WHERE len(w) > 0
+), sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE common >= 0.8 * (p.n + q.n - common)
+), reached(x, y) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.x, l.y FROM reached r JOIN links l ON l.x = r.y),
+classes AS (SELECT x AS doc_id, min(y) AS class_id, count(*) AS class_size FROM reached GROUP BY x),
+counted AS (SELECT x AS doc_id, count(*) AS n_links FROM links GROUP BY x)
+SELECT doc_id, class_id, class_size, coalesce(n_links, 0) AS n_links, doc_id = class_id AS first
+FROM classes LEFT JOIN counted USING (doc_id)
+"""
+
+ORACLE = {
+    "op1_substring_dedup": SUBSTRING_DEDUP,
+    "op5_decontamination": DECONTAMINATION,
+    "op10_ngram_join": NGRAM_JOIN,
+}

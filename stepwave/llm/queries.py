@@ -5,6 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .contamination import find_contamination
+from .ngram_join import near_duplicates
 from .packing import pack_documents
 from .shared import table
 from .substring_dedup import remove_repeats
@@ -26,13 +28,23 @@ def packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), VOCABULARY, end_id=2, capacity=4096).drop("ids")
 
 
+def decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"), window=10).drop("spans")
+
+
 def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return remove_long_matches(table(spark, folder, "documents"), length=200, keep_text=False)
 
 
+def ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"), n=5, threshold=0.8)
+
+
 QUERIES = {
     "op1_substring_dedup": substring_dedup,
     "op2_token_counts": token_counts,
     "op3_packing": packing,
+    "op5_decontamination": decontamination,
     "op9_suffix_dedup": suffix_dedup,
+    "op10_ngram_join": ngram_join,
 }

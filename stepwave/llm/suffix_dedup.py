@@ -25,7 +25,7 @@ from .shared import MESSAGE, answered, bucket_count, fields, gathered, joined, m
 from .substring_dedup import distinct, seen_elsewhere
 
 #: Bytes of one index; super-windows of one k-gram always share one.
-INDEX_BYTES = 4 << 20
+INDEX_BYTES = 1 << 20
 #: K-grams in more different super-windows than this are settled window by window instead, by 96-bit hashes.
 MOST_CONTENTS = 20_000
 NONE, COPY, COPY_SENDS, SENDS, SENDS_WINDOWS, COPY_SENDS_WINDOWS = range(6)
