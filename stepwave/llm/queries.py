@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from .contamination import find_contamination
 from .ngram_join import near_duplicates
 from .packing import pack_documents
+from .quality import score_quality
 from .shared import table
 from .substring_dedup import remove_repeats
 from .suffix_dedup import remove_long_matches
 from .tokens import count_tokens
+from .toxicity import score_toxicity
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -28,6 +30,14 @@ def packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), VOCABULARY, end_id=2, capacity=4096).drop("ids")
 
 
+def quality(spark: SparkSession, folder: str) -> DataFrame:
+    return score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"), window=10).drop("spans")
 
@@ -44,7 +54,9 @@ QUERIES = {
     "op1_substring_dedup": substring_dedup,
     "op2_token_counts": token_counts,
     "op3_packing": packing,
+    "op4_quality": quality,
     "op5_decontamination": decontamination,
+    "op6_toxicity": toxicity,
     "op9_suffix_dedup": suffix_dedup,
     "op10_ngram_join": ngram_join,
 }
