@@ -63,8 +63,21 @@ SELECT doc_id, class_id, class_size, coalesce(n_links, 0) AS n_links, doc_id = c
 FROM classes LEFT JOIN counted USING (doc_id)
 """
 
+TOP_K = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q, v c WHERE q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
 ORACLE = {
     "op1_substring_dedup": SUBSTRING_DEDUP,
     "op5_decontamination": DECONTAMINATION,
+    "op7_top_k": TOP_K,
     "op10_ngram_join": NGRAM_JOIN,
 }

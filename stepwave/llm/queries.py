@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .contamination import find_contamination
+from .metric_tree import top_inner
 from .ngram_join import near_duplicates
 from .packing import pack_documents
 from .quality import score_quality
@@ -42,6 +43,10 @@ def decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"), window=10).drop("spans")
 
 
+def top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return top_inner(table(spark, folder, "embeddings"), k=20, every=20, scale=64.0)
+
+
 def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return remove_long_matches(table(spark, folder, "documents"), length=200, keep_text=False)
 
@@ -57,6 +62,7 @@ QUERIES = {
     "op4_quality": quality,
     "op5_decontamination": decontamination,
     "op6_toxicity": toxicity,
+    "op7_top_k": top_k,
     "op9_suffix_dedup": suffix_dedup,
     "op10_ngram_join": ngram_join,
 }
