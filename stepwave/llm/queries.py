@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .contamination import find_contamination
+from .language_model import score_texts
 from .metric_tree import top_inner
 from .ngram_join import near_duplicates
 from .packing import pack_documents
@@ -47,6 +48,10 @@ def top_k(spark: SparkSession, folder: str) -> DataFrame:
     return top_inner(table(spark, folder, "embeddings"), k=20, every=20, scale=64.0)
 
 
+def lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return score_texts(table(spark, folder, "documents")).drop("perplexity")
+
+
 def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return remove_long_matches(table(spark, folder, "documents"), length=200, keep_text=False)
 
@@ -63,6 +68,7 @@ QUERIES = {
     "op5_decontamination": decontamination,
     "op6_toxicity": toxicity,
     "op7_top_k": top_k,
+    "op8_lm_scores": lm_scores,
     "op9_suffix_dedup": suffix_dedup,
     "op10_ngram_join": ngram_join,
 }
