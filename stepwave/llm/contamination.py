@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from .hashing import ALNUM, LOWER, windows, words
-from .shared import begins_of, cut_by_bytes, keyed_texts, stored
+from .shared import begins_of, cut_by_bytes, keyed_texts, stored, typed
 
 #: Words of a shingle; windows of fewer words have shingles of all their words.
 SHINGLE = 3
@@ -58,7 +58,7 @@ def item_windows(benchmark: DataFrame, window: int, key: str, text: str) -> Data
             columns = [pa.array(v, t) for v, t in zip(out.values(), types, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, names=list(out))
 
-    schema = f"item {kind.simpleString()}, words array<string>, shingles array<long>"
+    schema = typed("words array<string>, shingles array<long>", 0, "item", kind)
     found = stored(keyed_texts(benchmark, key, text).mapInArrow(cut, schema), "windows")
     return found.withColumn("window", F.xxhash64(F.lit(1), "words"))
 
@@ -171,13 +171,13 @@ def find_contamination(
                     ]
                     d = doc[part]
                     columns = [
-                        pa.array(rows_[d]), pa.array(keys, key_type).take(pa.array(d)), pa.array(np.diff(first)[d]),
+                        pa.array(rows_[d]), pa.nulls(len(d)).cast(key_type), pa.array(np.diff(first)[d]),
                         pa.array(at[part] - first[d]), pa.array(shingles[part].view(np.int64)),
                         pa.array(around, pa.list_(pa.string())), pa.array(a[part] - first[d]),
                     ]
                     yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    schema = f"row long, key {kind.simpleString()}, n_words long, place long, shingle long, around array<string>, begin long"
+    schema = typed("row long, n_words long, place long, shingle long, around array<string>, begin long", 1, "key", kind)
     looked = stored(rows.mapInArrow(look, schema), "hits")
     documents = looked.filter("place IS NULL").select("row", "key", "n_words")
     start = F.col("place") - F.col("off")

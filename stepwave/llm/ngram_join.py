@@ -13,7 +13,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from .components import components
 from .hashing import NOT_SPACE, mixed, windows, words
-from .shared import opened, packed, per_pack, stored
+from .shared import opened, packed, per_pack, stored, typed
 
 #: Different sets of one tile; larger candidate groups are compared tile by tile.
 TILE = 500
@@ -115,6 +115,38 @@ def near_duplicates(
     without words (null or empty) are alone in their class. Repeated rows are copies of each other; a null key
     counts as larger than others; other columns do not matter; an empty table gives an empty one.
     """
+    _, classes = classified(docs, n, threshold, recall, key, text, tile)
+    first = (F.col("row") == F.col("top.row")).alias("first")
+    return classes.select(F.col("key").alias(key), F.col("top.key").alias("class_id"), "class_size", "n_links", first)
+
+
+def drop_near_duplicates(
+    docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.9999, key: str = "doc_id", text: str = "text", tile: int = TILE
+) -> DataFrame:
+    """``docs`` with one document of each class of ``near_duplicates``: the one with the smallest ``key``."""
+    others = [c for c in docs.columns if c != text]
+    body = F.struct(F.col(f"`{key}`"), *(F.col(f"`{c}`") for c in others if c != key), F.col(f"`{text}`").isNull())
+    rows = docs.select(body.alias("doc"), F.col(f"`{text}`").alias("text"))
+    packs, classes = classified(rows, n, threshold, recall, "doc", "text", tile)
+    key_type = to_arrow_type(rows.schema["doc"].dataType)
+    kept = classes.filter(F.col("row") == F.col("top.row")).groupBy("pack").agg(F.collect_list("row").alias("kept"))
+
+    def read(row):
+        data, begins = opened(row["body"], row["lens"])
+        raw = data.tobytes()
+        at = np.sort(np.array(row["kept"], np.int64) & 0xFFFF)
+        texts = [raw[begins[i] : begins[i + 1] - 1] for i in at]
+        yield {"doc": pa.array([row["keys"][i] for i in at], key_type), "text": pa.array(texts, pa.binary()).cast(pa.string())}
+
+    schema = typed("text string", 0, "doc", rows.schema["doc"].dataType)
+    found = per_pack(packs.join(kept, "pack"), read, schema)
+    values = {c: F.col("doc").getField(c) for c in others}
+    values[text] = F.when(~F.col("doc").getField(rows.schema["doc"].dataType.names[-1]), F.col("text"))
+    return found.select(*(values[c].alias(c) for c in docs.columns))
+
+
+def classified(docs: DataFrame, n: int, threshold: float, recall: float, key: str, text: str, tile: int) -> tuple[DataFrame, DataFrame]:
+    """Packs of ``docs``, and for each document its row and pack, its class and the class's first document."""
     bands, rows = banding(threshold, recall)
     kind = docs.schema[key].dataType
     key_type = to_arrow_type(kind)
@@ -170,7 +202,7 @@ def near_duplicates(
             out.append(pd.DataFrame({"node": nodes, "other": nodes[local_roots(link)], "links": link @ copies}))
         return pd.concat(out)
 
-    schema = f"row long, pack long, key {kind.simpleString()}, size long, one long, two long, bands array<long>"
+    schema = typed("row long, pack long, size long, one long, two long, bands array<long>", 2, "key", kind)
     signed = stored(per_pack(packs, sign, schema), "signatures")
     some = signed.filter("size > 0")
     nodes = some.groupBy("one", "two", "size").agg(F.min("row").alias("node"), F.count(F.lit(1)).alias("copies"))
@@ -203,10 +235,8 @@ def near_duplicates(
     classes = components(compared.select(F.col("node").alias("a"), F.col("other").alias("b")))
     named = nodes.join(links, "node", "left").join(classes, "node", "left")
     named = named.select("one", "two", "size", F.coalesce("root", "node").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    rows_of = signed.select("row", "key", "size", "one", "two").join(named, ["one", "two", "size"], "left")
-    rows_of = stored(rows_of.select("row", "key", F.coalesce("root", "row").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "classes")
+    rows_of = signed.select("row", "pack", "key", "size", "one", "two").join(named, ["one", "two", "size"], "left")
+    rows_of = stored(rows_of.select("row", "pack", "key", F.coalesce("root", "row").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "classes")
     order = F.struct(F.col("key").isNull(), "key", "row")
     tops = rows_of.groupBy("root").agg(F.min(order).alias("top"), F.count(F.lit(1)).alias("class_size"))
-    return rows_of.join(tops, "root").select(
-        F.col("key").alias(key), F.col("top.key").alias("class_id"), "class_size", "n_links", (F.col("row") == F.col("top.row")).alias("first")
-    )
+    return packs, rows_of.join(tops, "root")

@@ -12,9 +12,10 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .shared import begins_of, cut_by_bytes, keyed_texts, stored
+from .shared import begins_of, cut_by_bytes, keyed_texts, stored, typed
 from .tokens import tokenizer_of
 
 #: Sequences that a group of documents fills, about.
@@ -131,7 +132,7 @@ def pack_documents(
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["pack", "keys", "sizes", "body"])
 
-    schema = f"pack long, keys array<{kind.simpleString()}>, sizes array<long>, body binary"
+    schema = typed("pack long, sizes array<long>, body binary", 1, "keys", T.ArrayType(kind))
     packs = stored(keyed_texts(docs, key, text).mapInArrow(encode, schema), "ids", "none")
     total = packs.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     groups = max(1, -(-total // (capacity * GROUP_SEQUENCES)))
@@ -179,5 +180,6 @@ def pack_documents(
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=[key, *names[1:3], "ids_crc32", *names[3:], "ids"])
 
-    out = f"`{key}` {kind.simpleString()}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
+    columns_of = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
+    out = typed(columns_of, 0, key, kind)
     return packs.join(per_pack, "pack").select("keys", "sizes", "body", "pieces").mapInArrow(cut, out)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from .sampling import agreed_labels, first_by_hash, remainder, with_texts
-from .shared import cut_by_bytes, keyed_texts
+from .shared import cut_by_bytes, keyed_texts, typed
 
 #: A filter reads two steps of bytes and moves by one, so neighbouring chunks overlap by a step.
 STEP = 8
@@ -154,6 +154,26 @@ def fit(
     return found[0]["body"] if found else None
 
 
+def keep_good(
+    docs: DataFrame, labels: DataFrame, label: str = "quality", threshold: float = 0.5, key: str = "doc_id", text: str = "text", held: int = 1
+) -> DataFrame:
+    """The rows of ``docs`` whose whole text scores at least ``threshold`` (see ``score_quality``), all columns kept."""
+    body = fit(docs, labels, label, key=key, text=text, held=held)
+    shared = docs.sparkSession.sparkContext.broadcast(body)
+
+    @F.pandas_udf("double")
+    def score(columns: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        net = Network.loads(shared.value) if shared.value else None
+        for column in columns:
+            texts = [t.encode() for t in column]
+            ends = np.cumsum([len(t) for t in texts]) // BATCH_BYTES
+            groups = np.split(np.arange(len(texts)), np.flatnonzero(np.diff(ends)) + 1) if len(texts) else []
+            values = [net.score([texts[i] for i in g]) if net else np.full(len(g), 0.5) for g in groups]
+            yield pd.Series(np.concatenate(values) if values else np.zeros(0))
+
+    return docs.filter(score(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))) >= threshold)
+
+
 def score_quality(
     docs: DataFrame, labels: DataFrame, label: str = "quality", modulus: int = 3, held: int = 1, key: str = "doc_id", text: str = "text",
     most_per_class: int = 1500, epochs: int = 6,
@@ -175,6 +195,6 @@ def score_quality(
             values = net.score(parts[::2]) if net else np.full(len(keys), 0.5)
             yield pa.RecordBatch.from_arrays([pa.array(keys, key_type), pa.array(values)], names=[key, "score"])
 
-    scored = keyed_texts(docs, key, text).mapInArrow(score, f"`{key}` {kind.simpleString()}, score double")
+    scored = keyed_texts(docs, key, text).mapInArrow(score, typed("score double", 0, key, kind))
     held_out = (remainder(F.col(f"`{key}`"), modulus) == held).alias("held_out")
     return scored.select(f"`{key}`", held_out, "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))

@@ -115,7 +115,7 @@ def packed(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["pack", "keys", "lens", "size", "body"])
 
-    schema = f"pack long, keys array<{kind.simpleString()}>, lens binary, size long, body binary"
+    schema = typed("pack long, lens binary, size long, body binary", 1, "keys", T.ArrayType(kind))
     rows = keyed_texts(docs, key, text).mapInArrow(pack, schema)
     return bucketed(rows, "packs", "pack") if in_buckets else stored(rows, "packs", "none")
 
@@ -133,9 +133,15 @@ def opened(body: bytes, lens: bytes) -> tuple[np.ndarray, np.ndarray]:
     return data, begins_of(np.frombuffer(lens, np.int64))
 
 
-def per_pack(packs: DataFrame, function: Callable, schema: str) -> DataFrame:
+def typed(ddl: str, at: int, name: str, kind: T.DataType) -> T.StructType:
+    """The columns of ``ddl`` with one more at place ``at``, whose type may have names that DDL would have to quote."""
+    columns = list(T._parse_datatype_string(ddl).fields)
+    return T.StructType([*columns[:at], T.StructField(name, kind), *columns[at:]])
+
+
+def per_pack(packs: DataFrame, function: Callable, schema: str | T.StructType) -> DataFrame:
     """Rows that ``function(row: dict)`` yields as dicts for each pack; columns as in ``schema``."""
-    names = T._parse_datatype_string(schema).names
+    names = (T._parse_datatype_string(schema) if isinstance(schema, str) else schema).names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

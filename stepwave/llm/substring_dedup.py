@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_type
 
 from .hashing import NOT_SPACE, covered, windows, words
-from .shared import MESSAGE, answered, bucket_count, gathered, joined, messages, opened, packed, per_pack, stored, text_bytes
+from .shared import MESSAGE, answered, bucket_count, gathered, joined, messages, opened, packed, per_pack, stored, text_bytes, typed
 
 #: Difference covers by their modulus: every residue is a difference of two members.
 COVERS = {3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16)}
@@ -121,8 +121,8 @@ def remove_repeats(docs: DataFrame, window: int = 35, key: str = "doc_id", text:
     size = text_bytes(packs)
     buckets = bucket_count(size // 3)
     id_type = to_arrow_type(docs.schema[key].dataType)
-    schema = f"`{key}` {docs.schema[key].dataType.simpleString()}, n_words long, n_removed long, kept_sha256 string"
-    schema += ", kept string" if keep_text else ""
+    columns_of = "n_words long, n_removed long, kept_sha256 string" + (", kept string" if keep_text else "")
+    schema = typed(columns_of, 0, key, docs.schema[key].dataType)
 
     def state_anchors(row):
         *_, hashes, first = tokens(row)

@@ -21,7 +21,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from .hashing import BASE, BYTE_VALUES, SEGMENT, covered, inverse, mixed, powers, windows
 from .run_index import END, RunIndex, words_at
-from .shared import MESSAGE, answered, bucket_count, fields, gathered, joined, messages, opened, packed, per_pack, stored, text_bytes
+from .shared import MESSAGE, answered, bucket_count, fields, gathered, joined, messages, opened, packed, per_pack, stored, text_bytes, typed
 from .substring_dedup import distinct, seen_elsewhere
 
 #: Bytes of one index; super-windows of one k-gram always share one.
@@ -281,8 +281,8 @@ def remove_long_matches(
             columns["kept"] = pa.array([p.decode("utf-8", "ignore") for p in pieces], pa.string())
         yield columns
 
-    schema = f"`{key}` {kind.simpleString()}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    schema += ", spans array<array<long>>, kept string" if keep_text else ""
+    columns_of = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    schema = typed(columns_of + (", spans array<array<long>>, kept string" if keep_text else ""), 0, key, kind)
     stated = stored(per_pack(packs, state, MESSAGE), "super-windows", "none")
     states = stated.filter("bucket < 0").select("pack", F.col("body").alias("state"))
     codes = gathered(answered(stated.filter("bucket >= 0"), partial(judged, most_contents=most_contents), np.uint64, np.uint64, bool), "codes")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_type
 
 from .hashing import NOT_SPACE, words
-from .shared import begins_of, cut_by_bytes, keyed_texts
+from .shared import begins_of, cut_by_bytes, keyed_texts, typed
 
 #: Distinct words kept per worker; beyond that the memory starts anew.
 KEPT_WORDS = 1_000_000
@@ -138,5 +138,5 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 2048, key: str = "doc_
             columns = [pa.array(keys, key_type), pa.array(lens), pa.array(n, pa.int64()), pa.array(n > limit)]
             yield pa.RecordBatch.from_arrays(columns, names=[key, "n_bytes", "n_tokens", "over_limit"])
 
-    schema = f"`{key}` {kind.simpleString()}, n_bytes long, n_tokens long, over_limit boolean"
+    schema = typed("n_bytes long, n_tokens long, over_limit boolean", 0, key, kind)
     return keyed_texts(docs, key, text).mapInArrow(count, schema)

@@ -14,7 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from .hashing import ALNUM, LOWER, windows, words
 from .sampling import agreed_labels, first_by_hash, remainder, with_texts
-from .shared import begins_of, cut_by_bytes, keyed_texts
+from .shared import begins_of, cut_by_bytes, keyed_texts, typed
 
 BITS = 20
 
@@ -127,6 +127,6 @@ def score_toxicity(
             values = logistic(sums(weights, *features(parts, lens)) + bias) if model else np.zeros(len(keys))
             yield pa.RecordBatch.from_arrays([pa.array(keys, key_type), pa.array(values)], names=[key, "score"])
 
-    scored = keyed_texts(docs, key, text).mapInArrow(score, f"`{key}` {kind.simpleString()}, score double")
+    scored = keyed_texts(docs, key, text).mapInArrow(score, typed("score double", 0, key, kind))
     held_out = (remainder(F.col(f"`{key}`"), modulus) == held).alias("held_out")
     return scored.select(f"`{key}`", held_out, "score", F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
