@@ -45,7 +45,7 @@ def item_windows(benchmark: DataFrame, window: int, key: str, text: str) -> Data
             raw = data.tobytes()
             text_of = [raw[b:e].decode("utf-8", "replace") for b, e in zip(start.tolist(), end.tolist(), strict=True)]
             out = {"item": [], "words": [], "shingles": []}
-            for i, name in enumerate(keys):
+            for i, name in enumerate(keys.to_pylist()):
                 a, z = int(first[i]), int(first[i + 1])
                 size = min(window, z - a)
                 shingle = min(SHINGLE, size)
@@ -151,7 +151,7 @@ def find_contamination(
             done += len(keys)
             none = pa.nulls(len(keys))
             columns = [
-                pa.array(rows_), pa.array(keys, key_type), pa.array(np.diff(first)),
+                pa.array(rows_), keys, pa.array(np.diff(first)),
                 none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.list_(pa.string())), none.cast(pa.int64()),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=names)

@@ -13,9 +13,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
 
-from .shared import begins_of, cut_by_bytes, keyed_texts, stored, typed
+from .shared import begins_of, cut_by_bytes, keyed_texts, one_list, stored, typed
 from .tokens import tokenizer_of
 
 #: Sequences that a group of documents fills, about.
@@ -115,7 +114,6 @@ def pack_documents(
     and null keys are documents of their own; an empty table gives an empty one.
     """
     kind = docs.schema[key].dataType
-    key_type = to_arrow_type(kind)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, squeeze = tokenizer_of(path), zstandard.ZstdCompressor(level=1)
@@ -126,7 +124,7 @@ def pack_documents(
             body = squeeze.compress(ids.view(np.uint8).reshape(-1, 4).T.tobytes())  # bytes of equal weight together
             columns = [
                 pa.array([base | count], pa.int64()),
-                pa.array([keys], pa.list_(key_type)),
+                one_list(keys),
                 pa.array([np.diff(first) + 1], pa.list_(pa.int64())),
                 pa.array([body], pa.binary()),
             ]

@@ -10,10 +10,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from .sampling import agreed_labels, first_by_hash, remainder, with_texts
-from .shared import cut_by_bytes, keyed_texts, typed
+from .shared import cut_by_bytes, keyed_texts, release, texts, typed
 
 #: A filter reads two steps of bytes and moves by one, so neighbouring chunks overlap by a step.
 STEP = 8
@@ -103,23 +102,23 @@ class Network:
         return grad
 
 
-def trained(texts: list[bytes], label: np.ndarray, weight: np.ndarray, epochs: int, batch: int = 24, rate: float = 0.01) -> Network:
+def trained(samples: list[bytes], label: np.ndarray, weight: np.ndarray, epochs: int, batch: int = 24, rate: float = 0.01) -> Network:
     """A network fitted with Adam; long texts come as bounded runs of bytes, drawn anew in each epoch.
 
     Small samples get more epochs, so that there are about 600 steps at least.
     """
-    epochs = max(epochs, 600 * batch // max(len(texts), batch))
+    epochs = max(epochs, 600 * batch // max(len(samples), batch))
     net, rng = Network(), np.random.default_rng(5)
     net.base[0] = np.log((weight[label == 1].sum() + 1) / (weight[label == 0].sum() + 1))
     one, two = ({n: np.zeros_like(getattr(net, n)) for n in Network.NAMES} for _ in range(2))
-    turn, turns = 0, epochs * -(-len(texts) // batch)
+    turn, turns = 0, epochs * -(-len(samples) // batch)
     for _ in range(epochs):
-        for at in np.array_split(rng.permutation(len(texts)), -(-len(texts) // batch)):
+        for at in np.array_split(rng.permutation(len(samples)), -(-len(samples) // batch)):
             turn += 1
             parts = []
             for i in at:
-                begin = int(rng.integers(0, max(len(texts[i]) - 16_384, 0) + 1))
-                parts.append(texts[i][begin : begin + 16_384])
+                begin = int(rng.integers(0, max(len(samples[i]) - 16_384, 0) + 1))
+                parts.append(samples[i][begin : begin + 16_384])
             step = rate * (1 - turn / (turns + 1))
             for n, g in net.gradients(parts, label[at], weight[at]).items():
                 one[n] = 0.9 * one[n] + 0.1 * g
@@ -161,17 +160,21 @@ def keep_good(
     body = fit(docs, labels, label, key=key, text=text, held=held)
     shared = docs.sparkSession.sparkContext.broadcast(body)
 
-    @F.pandas_udf("double")
-    def score(columns: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    place = docs.columns.index(text)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = Network.loads(shared.value) if shared.value else None
-        for column in columns:
-            texts = [t.encode() for t in column]
-            ends = np.cumsum([len(t) for t in texts]) // BATCH_BYTES
-            groups = np.split(np.arange(len(texts)), np.flatnonzero(np.diff(ends)) + 1) if len(texts) else []
-            values = [net.score([texts[i] for i in g]) if net else np.full(len(g), 0.5) for g in groups]
-            yield pd.Series(np.concatenate(values) if values else np.zeros(0))
+        for batch in batches:
+            data, offsets = texts(batch.column(place))
+            groups = np.flatnonzero(np.diff(offsets[1:] // BATCH_BYTES)) + 1
+            values = []
+            for g in np.split(np.arange(batch.num_rows), groups):
+                parts = [data[offsets[i] : offsets[i + 1]].tobytes() for i in g]
+                values.append(net.score(parts) if net and parts else np.full(len(g), 0.5))
+            yield batch.filter(pa.array(np.concatenate(values) >= threshold))
+        release()
 
-    return docs.filter(score(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))) >= threshold)
+    return docs.mapInArrow(keep, docs.schema)
 
 
 def score_quality(
@@ -185,7 +188,6 @@ def score_quality(
     are left out; without two classes to learn from every score is 0.5. An empty table gives an empty one.
     """
     kind = docs.schema[key].dataType
-    key_type = to_arrow_type(kind)
     body = fit(docs, labels, label, most_per_class, epochs, modulus, held, key, text)
     shared = docs.sparkSession.sparkContext.broadcast(body)
 
@@ -193,7 +195,7 @@ def score_quality(
         net = Network.loads(shared.value) if shared.value else None
         for keys, _, parts in cut_by_bytes(batches, BATCH_BYTES):
             values = net.score(parts[::2]) if net else np.full(len(keys), 0.5)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, key_type), pa.array(values)], names=[key, "score"])
+            yield pa.RecordBatch.from_arrays([keys, pa.array(values)], names=[key, "score"])
 
     scored = keyed_texts(docs, key, text).mapInArrow(score, typed("score double", 0, key, kind))
     held_out = (remainder(F.col(f"`{key}`"), modulus) == held).alias("held_out")

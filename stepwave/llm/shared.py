@@ -8,6 +8,8 @@ A key reaches its bucket at most once per pack, however often it occurs, so no k
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -20,7 +22,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
 
 PACK_BYTES = 4 << 20
 BUCKET_BYTES = 8 << 20
@@ -63,21 +64,36 @@ def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def cut_by_bytes(batches: Iterator[pa.RecordBatch], size: int = PACK_BYTES) -> Iterator[tuple[list, np.ndarray, list[bytes]]]:
+def release() -> None:
+    """Give freed memory back to the system: Python workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def cut_by_bytes(batches: Iterator[pa.RecordBatch], size: int = PACK_BYTES) -> Iterator[tuple[pa.Array, np.ndarray, list[bytes]]]:
     """Groups of whole documents of about ``size`` bytes: keys, lengths, and their bytes with a line feed after each."""
     keys, lens, parts, total = [], [], [], 0
     for batch in batches:
         data, offsets = texts(batch.column(1))
-        for i, name in enumerate(batch.column(0).to_pylist()):
-            keys.append(name)
+        begin = 0
+        for i in range(batch.num_rows):
             lens.append(int(offsets[i + 1] - offsets[i]))
             parts += (data[offsets[i] : offsets[i + 1]].tobytes(), b"\n")
             total += lens[-1]
             if total >= size or len(lens) >= 65536:
-                yield keys, np.array(lens, np.int64), parts
-                keys, lens, parts, total = [], [], [], 0
+                keys.append(batch.column(0).slice(begin, i + 1 - begin))
+                yield pa.concat_arrays(keys), np.array(lens, np.int64), parts
+                keys, lens, parts, total, begin = [], [], [], 0, i + 1
+        if begin < batch.num_rows:
+            keys.append(batch.column(0).slice(begin))
     if lens:
-        yield keys, np.array(lens, np.int64), parts
+        yield pa.concat_arrays(keys), np.array(lens, np.int64), parts
+    release()
+
+
+def one_list(values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
 def keyed_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -100,7 +116,6 @@ def packed(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
     A null text counts as an empty one. Each document ends with a line feed that is not counted in ``lens``.
     """
     kind = docs.schema[key].dataType
-    keys_type = pa.list_(to_arrow_type(kind))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3)
@@ -108,7 +123,7 @@ def packed(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
         for count, (keys, lens, parts) in enumerate(cut_by_bytes(batches, size)):
             columns = [
                 pa.array([base | count], pa.int64()),
-                pa.array([keys], keys_type),
+                one_list(keys),
                 pa.array([lens.tobytes()], pa.binary()),
                 pa.array([int(lens.sum())], pa.int64()),
                 pa.array([squeeze.compress(b"".join(parts))], pa.binary()),
@@ -149,6 +164,7 @@ def per_pack(packs: DataFrame, function: Callable, schema: str | T.StructType) -
                 row = {n: batch.column(j)[i].as_py() for j, n in enumerate(batch.schema.names)}
                 for out in function(row):
                     yield pa.RecordBatch.from_arrays([out[n] for n in names], names=names)
+        release()
 
     return packs.mapInArrow(run, schema)
 

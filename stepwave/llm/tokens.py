@@ -8,7 +8,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql.pandas.types import to_arrow_type
 
 from .hashing import NOT_SPACE, words
 from .shared import begins_of, cut_by_bytes, keyed_texts, typed
@@ -128,14 +127,13 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 2048, key: str = "doc_
     Repeated rows, null keys and other columns are kept apart from the count; an empty table gives an empty one.
     """
     kind = docs.schema[key].dataType
-    key_type = to_arrow_type(kind)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = tokenizer_of(path)
         for keys, lens, parts in cut_by_bytes(batches):
             data = np.frombuffer(b"".join(parts), np.uint8)
             n = tokenizer.counts(data, begins_of(lens))
-            columns = [pa.array(keys, key_type), pa.array(lens), pa.array(n, pa.int64()), pa.array(n > limit)]
+            columns = [keys, pa.array(lens), pa.array(n, pa.int64()), pa.array(n > limit)]
             yield pa.RecordBatch.from_arrays(columns, names=[key, "n_bytes", "n_tokens", "over_limit"])
 
     schema = typed("n_bytes long, n_tokens long, over_limit boolean", 0, key, kind)

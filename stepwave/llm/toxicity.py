@@ -10,7 +10,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from .hashing import ALNUM, LOWER, windows, words
 from .sampling import agreed_labels, first_by_hash, remainder, with_texts
@@ -95,7 +94,6 @@ def score_toxicity(
     empty one.
     """
     kind = docs.schema[key].dataType
-    key_type = to_arrow_type(kind)
     known = agreed_labels(labels, key, label)
     usable = known.filter(remainder(F.col("k"), modulus) != held)
     total, toxic = usable.agg(F.count(F.lit(1)), F.sum("y")).first()
@@ -125,7 +123,7 @@ def score_toxicity(
         weights, bias = (model["weights"].astype(np.float64), float(model["bias"])) if model else (None, 0.0)
         for keys, lens, parts in cut_by_bytes(batches):
             values = logistic(sums(weights, *features(parts, lens)) + bias) if model else np.zeros(len(keys))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, key_type), pa.array(values)], names=[key, "score"])
+            yield pa.RecordBatch.from_arrays([keys, pa.array(values)], names=[key, "score"])
 
     scored = keyed_texts(docs, key, text).mapInArrow(score, typed("score double", 0, key, kind))
     held_out = (remainder(F.col(f"`{key}`"), modulus) == held).alias("held_out")
