@@ -40,7 +40,7 @@ def logistic(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def learnt(positive: list[bytes], unlabelled: list[bytes], prior: float, turns: int = 300, rate: float = 0.05, sparse: float = 0.01) -> tuple:
+def learnt(positive: list[bytes], unlabelled: list[bytes], prior: float, turns: int = 300, rate: float = 0.05, sparse: float = 0.45) -> tuple:
     """Weights and bias that minimise the non-negative risk: prior * E_P[l(+)] + max(0, E_U[l(-)] - prior * E_P[l(-)]).
 
     Weights shrink towards zero, the more the fewer positive examples there are.
@@ -74,7 +74,7 @@ def learnt(positive: list[bytes], unlabelled: list[bytes], prior: float, turns:
         step = rate * (1 - turn / (turns + 1))
         move = step * (m / (1 - 0.9**turn)) / (np.sqrt(v / (1 - 0.999**turn)) + 1e-8)
         weights, bias = weights - move[:-1], bias - move[-1]
-        shrink = step * sparse / np.sqrt(n) / (np.sqrt(v[:-1] / (1 - 0.999**turn)) + 1e-8)
+        shrink = step * sparse / n / (np.sqrt(v[:-1] / (1 - 0.999**turn)) + 1e-8)
         weights = np.sign(weights) * np.maximum(np.abs(weights) - shrink, 0)
     full = np.zeros(1 << BITS, np.float32)
     full[seen] = weights
