@@ -21,13 +21,13 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from .hashing import BASE, BYTE_VALUES, SEGMENT, covered, inverse, mixed, powers, windows
 from .run_index import END, RunIndex, words_at
-from .shared import MESSAGE, answered, bucket_count, fields, gathered, joined, messages, opened, packed, per_pack, stored, text_bytes, typed
+from .shared import MESSAGE, answered, bucket_count, fields, gathered, joined, messages, opened, packed, per_pack, release, stored, text_bytes, typed
 from .substring_dedup import distinct, seen_elsewhere
 
 #: Bytes of one index; super-windows of one k-gram always share one.
-INDEX_BYTES = 1 << 20
+INDEX_BYTES = 1 << 19
 #: K-grams in more different super-windows than this are settled window by window instead, by 96-bit hashes.
-MOST_CONTENTS = 20_000
+MOST_CONTENTS = 2_000
 NONE, COPY, COPY_SENDS, SENDS, SENDS_WINDOWS, COPY_SENDS_WINDOWS = range(6)
 PLACE = np.uint64((1 << 23) - 1)
 FIRST_MIX, SECOND_MIX = np.uint64(0x9FB21C651E98DF25), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -239,6 +239,7 @@ def remove_long_matches(
             flags = indexed(np.concatenate(grams), np.concatenate(sizes), b"".join(bodies), length)
             ends = np.cumsum([s.sum() for s in sizes])
             answers = [v.astype(np.uint8).tobytes() for v in np.split(flags, ends[:-1])]
+        release()
         return pd.DataFrame({"bucket": rows["bucket"].to_numpy(), "pack": rows["pack"].to_numpy(), "body": answers})
 
     def finish(row):
@@ -288,7 +289,8 @@ def remove_long_matches(
     codes = gathered(answered(stated.filter("bucket >= 0"), partial(judged, most_contents=most_contents), np.uint64, np.uint64, bool), "codes")
     known = stored(states.join(codes, "pack", "left"), "codes")
     asked = per_pack(packs.join(known, "pack"), send, MESSAGE)
-    answers = stored(asked.groupBy("bucket").applyInPandas(match, MESSAGE), "matches")
+    spread = asked.repartition(max(parts // 4, 1), "bucket")  # small messages, much work: sizes should not merge tasks
+    answers = stored(spread.groupBy("bucket").applyInPandas(match, MESSAGE), "matches")
     by_text = gathered(answers.filter(F.col("bucket") < parts), "texts")
     by_window = gathered(answers.filter(F.col("bucket") >= parts), "windows")
     replies = known.join(by_text, "pack", "left").join(by_window, "pack", "left")
