@@ -142,12 +142,12 @@ def top_inner(vectors: DataFrame, k: int = 20, every: int = 20, scale: float = 6
     )
     points = stored(points, "vectors")
     total, width = points.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
-    queries = points.filter(F.col("id") % every == 0)
+    queries = points.filter(F.col("id") % every == 0).select(F.col("row").alias("q_row"), F.col("id").alias("q_id"), F.col("v").alias("q_v"))
     asked = queries.count() if total else 0
     trees, chunks = max(1, -(-total // TREE_SIZE)), max(1, -(-asked // QUERY_CHUNK))
     dealt = points.withColumn("tree", F.pmod(F.xxhash64("row"), F.lit(trees)))
     dealt = dealt.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    sent = queries.withColumn("chunk", F.pmod(F.xxhash64(F.lit(1), "row"), F.lit(chunks)).cast("int"))
+    sent = queries.withColumn("chunk", F.pmod(F.xxhash64(F.lit(1), "q_row"), F.lit(chunks)).cast("int"))
     sent = sent.withColumn("tree", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(trees - 1).cast("long"))))
 
     def visit(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -158,16 +158,16 @@ def top_inner(vectors: DataFrame, k: int = 20, every: int = 20, scale: float = 6
             ids, rows_of = left["id"].to_numpy(), left["row"].to_numpy()
             rng = np.random.default_rng(3)
             root = built(x, np.arange(len(x)), x.mean(0), 0.0, rng)
-            q_all = matrix(right["v"], width)
+            q_all = matrix(right["q_v"], width)
             # Queries that look alike are searched together.
             routes = x[rng.choice(len(x), min(len(x), 64), replace=False)]
             right = right.iloc[np.argsort((q_all @ routes.T).argmax(1), kind="stable")]
             for at in range(0, len(right), QUERY_BLOCK):
                 block = right.iloc[at : at + QUERY_BLOCK]
-                score, best = search(root, x, ids, rows_of, matrix(block["v"], width), block["row"].to_numpy(), k)
+                score, best = search(root, x, ids, rows_of, matrix(block["q_v"], width), block["q_row"].to_numpy(), k)
                 i, j = np.nonzero(np.isfinite(score))
                 out.append(
-                    pd.DataFrame({"row": block["row"].to_numpy()[i], "query_id": block["id"].to_numpy()[i], "id": best[i, j], "score": score[i, j].astype(np.int64)})
+                    pd.DataFrame({"row": block["q_row"].to_numpy()[i], "query_id": block["q_id"].to_numpy()[i], "id": best[i, j], "score": score[i, j].astype(np.int64)})
                 )
         return pd.concat(out) if out else pd.DataFrame({n: np.zeros(0, np.int64) for n in ("row", "query_id", "id", "score")})
 
