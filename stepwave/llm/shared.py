@@ -36,7 +36,6 @@ def shared_folder(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         folder = (Path.cwd() / "spark-warehouse" / "shared").as_uri()
-        spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
