@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,7 +10,8 @@ from ..schema import CYCLE_MS, WARMUP_POSITIONS
 from ..session import cut
 from .ordered import Ordered, in_order, with_context
 
-ORDER = ("timeMs", "index")
+# Total for everything peaks depend on: rows that tie in all three are alike to them.
+ORDER = ("timeMs", "index", "vSum")
 
 
 def scoped(readings: DataFrame, scope_ms: int | None) -> DataFrame:
@@ -31,16 +30,15 @@ def by_user(readings: DataFrame, scope_ms: int | None = None, max_rows: int | No
 
 def without_warmup(data: Ordered, positions=WARMUP_POSITIONS) -> Ordered:
     """Hide the given positions (0-based, in order) of every group."""
-    position = F.row_number().over(data.window) - 1
-    if not data.sliced:
-        kept = data.rows.withColumn("_position", position).filter(~F.col("_position").isin(*positions))
-        return data.with_rows(kept.drop("_position"))
-    # Sliced groups know the place of their first rows, so theirs go before any shuffle.
-    shown = data.rows.filter(F.col("place").isNull() | ~F.col("place").isin(*positions)).drop("place")
-    kept = shown.withColumn("_position", position).filter(
-        (F.col("slices") > 1) | ~F.col("_position").isin(*positions)
-    )
-    return replace(data, rows=kept.drop("_position"), large=shown)
+    number = F.row_number().over(data.window)
+    position = number - 1
+    if data.sliced:
+        # The first rows of a sliced group know their place; equal rows share one slice and count on from it.
+        copy = number - F.rank().over(data.window)
+        position = F.when(F.col("slices") > 1, F.col("place") + copy).otherwise(position)
+    numbered = data.rows.withColumn("_position", position)
+    shown = numbered.filter(F.col("_position").isNull() | ~F.col("_position").isin(*positions))
+    return data.with_rows(shown.drop("_position", "place"))
 
 
 def local_maxima(data: Ordered, skip_warmup: bool = True) -> Ordered:
@@ -54,7 +52,7 @@ def local_maxima(data: Ordered, skip_warmup: bool = True) -> Ordered:
         kept, prev={"before": F.col("vSum")}, next={"after": F.col("vSum"), "next_ms": F.col("timeMs")}
     )
     rows = seen.rows.filter((F.col("before") < F.col("vSum")) & (F.col("after") < F.col("vSum")))
-    return seen.with_rows(rows.select(*data.keys, *data.slice_columns, *ORDER, "vSum", "next_ms"))
+    return seen.with_rows(rows.select(*data.keys, *data.slice_columns, *ORDER, "next_ms"))
 
 
 def greedy(data: Ordered, rule: Rule, columns: tuple[str, ...]) -> Ordered:
@@ -85,14 +83,16 @@ def greedy(data: Ordered, rule: Rule, columns: tuple[str, ...]) -> Ordered:
 def cycle_peaks(data: Ordered, cycle_ms: int = CYCLE_MS, skip_warmup: bool = True) -> Ordered:
     """The first local maximum more than ``cycle_ms`` after the anchor, which then restarts; see ``Rule``.
 
-    An index that is emitted twice in a group counts once, at its first place.
+    An index that is emitted twice in one scope counts once, at its first place.  Over whole histories a
+    counter may restart, so there every emission counts.
     """
     maxima = local_maxima(data, skip_warmup)
-    peaks = greedy(maxima, Rule(cycle_ms), ("timeMs", "index", "next_ms"))
-    first = F.min(F.struct("timeMs", "next_ms", *data.slice_columns)).alias("first")
+    peaks = greedy(maxima, Rule(cycle_ms), (*ORDER, "next_ms"))
     # Without slices one shuffle by group serves this count and every later window over the peaks.
-    found = peaks.rows if data.sliced else peaks.rows.repartition(*data.keys)
-    rows = found.groupBy(*data.keys, "index").agg(first).select(*data.keys, "index", "first.*")
+    rows = peaks.rows if data.sliced else peaks.rows.repartition(*data.keys)
+    if "scope" in data.keys:
+        first = F.min(F.struct("timeMs", "vSum", "next_ms", *data.slice_columns)).alias("first")
+        rows = rows.groupBy(*data.keys, "index").agg(first).select(*data.keys, "index", "first.*")
     return peaks.with_rows(cut(rows) if data.sliced else rows)
 
 
@@ -132,7 +132,7 @@ def with_cycles(data: Ordered, peaks: Ordered, values: dict) -> Ordered:
             *data.keys,
             F.explode(later).alias("slice"),
             "slices",
-            *(F.lit(None).cast("bigint").alias(o) for o in data.order),
+            *(F.lit(None).cast(data.rows.schema[o].dataType).alias(o) for o in data.order),
             F.lit(1).alias("_mark"),
             kind.alias("_value"),
         )

@@ -11,10 +11,12 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..schema import EVENT_STOP
 from .joins import join_frequent
 from .ordered import Ordered, in_order, with_context
 
-ORDER = ("timeMs", "index")
+# Total: of events that tie in time and index a stop comes last.
+ORDER = ("timeMs", "index", "kind")
 
 
 def is_kind(kind: str) -> Column:
@@ -51,12 +53,27 @@ def session_points(events: DataFrame, max_rows: int | None = None) -> DataFrame:
 
 
 def session_messages(events: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Messages per connection; the closing stop is not counted."""
-    data = with_sessions(events_by_user(events, max_rows))
+    """Messages per user and session where every event is a message of its own.
+
+    Neither the closing stop nor inferences, which reach no connection, are counted.
+    """
+    data = with_sessions(events_by_user(events.filter(~is_kind("inference")), max_rows))
     counted = F.count_if(~is_kind("stop")).alias("n_messages")
     return data.rows.groupBy("userID", "session_no").agg(counted)
 
 
+def connection_messages(messages: DataFrame, arrival: str = "arrival", max_rows: int | None = None) -> DataFrame:
+    """Decoded messages per connection (``uuid``) and session, whatever they hold; the closing stop is not counted.
+
+    Of messages with one arrival the stop comes last.  Messages without ``uuid`` belong to no connection.
+    """
+    stop = (F.coalesce("event", F.lit("")) == EVENT_STOP).cast("int").alias("stop")
+    rows = messages.select("uuid", F.col(arrival).alias("arrival"), stop)
+    seen = with_context(in_order(rows, ("uuid",), ("arrival", "stop"), max_rows), running={"session_no": F.col("stop")})
+    sessions = seen.rows.withColumn("session_no", F.col("session_no") - F.col("stop"))
+    return sessions.groupBy("uuid", "session_no").agg(F.sum(1 - F.col("stop")).alias("n_messages"))
+
+
 def online_users(events: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Users with a point since their last stop, with the open session and its number of points."""
     rows = with_sessions(events_by_user(events, max_rows)).rows

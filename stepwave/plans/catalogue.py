@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import from_text, norm
 from ..operators import feed, peaks, resample, scoring, segments, sessions
-from ..schema import AXES, CONFIDENCE_FIELD, EVENT_CONNECT, EVENT_POINTS, EVENT_STOP, POINTS_FIELD
+from ..operators.ordered import in_order, with_context
+from ..schema import AXES, CONFIDENCE_FIELD, EVENT_CONNECT, EVENT_POINTS, EVENT_STOP, POINTS_FIELD, READING_FIELDS
 from ..sinks.writers import to_line, vector_texts
 from ..sources import envelopes, lines, tables
 from . import pipeline
@@ -20,6 +21,7 @@ FEED_GAP_MS = 6 * 3_600_000
 FEED_NTH = 25
 FEED_SINCE_MS = 1_705_363_200_000
 MESSAGE_POINTS = 20
+BLOCK_EVENTS = 400
 KEYS = ("userID",)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -153,6 +155,15 @@ def cycle_peaks(spark, d):
     return _cycle_peaks(spark, d, 1000)
 
 
+def cycle_peaks_restarted(spark, d):
+    """Readings whose index starts again with every day of their user."""
+    daily = tables.readings(spark, d).withColumn("day", F.expr(f"timeMs div {DAY_MS}L"))
+    placed = with_context(in_order(daily, ("day", "userID"), peaks.ORDER), running={"place": F.lit(1)}).rows
+    rows = placed.withColumn("index", F.col("place") - 1).select(*READING_FIELDS)
+    found = peaks.numbered_peaks(peaks.cycle_peaks(peaks.by_user(rows))).rows
+    return found.select("userID", "cycle", "index", "timeMs")
+
+
 def cycle_peaks_day_gap(spark, d):
     return _cycle_peaks(spark, d, DAY_MS)
 
@@ -340,6 +351,26 @@ def session_messages(spark, d):
     return sessions.session_messages(tables.lifecycle(spark, d))
 
 
+def connection_messages(spark, d):
+    """Two connections per user; all readings of a block of events reach one in a single message, beside a
+    connect, a stop or another message of the same arrival."""
+    kind = tables.event_kind()
+    rows = tables.readings(spark, d, kind).withColumns(
+        {
+            "uuid": F.concat_ws("-", "userID", F.col("index") % 2),
+            "arrival": F.expr(f"index div {BLOCK_EVENTS}L"),
+            "line": to_line(),
+        }
+    )
+    event = F.when(F.col("kind") == "point", EVENT_POINTS).otherwise(F.col("kind"))
+    points = F.transform(F.array_sort(F.collect_list(F.struct("index", "line"))), lambda p: p["line"])
+    data = F.struct("uuid", F.when(F.col("kind") == "point", points).alias(POINTS_FIELD))
+    packed = rows.groupBy("uuid", "arrival", "kind").agg(
+        F.to_json(F.struct(event.alias("event"), data.alias("data"))).alias("value")
+    )
+    return sessions.connection_messages(envelopes.decoded(packed.select("arrival", "value")))
+
+
 def order_violations(spark, d):
     """Messages of twenty readings, which arrive in the order of their second axis."""
     readings = tables.readings(spark, d).withColumn("message_id", F.expr(f"index div {MESSAGE_POINTS}L"))
@@ -414,6 +445,7 @@ QUERIES: dict[str, Query] = {
     "local_maxima": local_maxima,
     "local_maxima_no_warmup": local_maxima_no_warmup,
     "cycle_peaks": cycle_peaks,
+    "cycle_peaks_restarted": cycle_peaks_restarted,
     "cycle_peaks_day_gap": cycle_peaks_day_gap,
     "cycle_peaks_scoped": cycle_peaks_scoped,
     "cycle_strongest": cycle_strongest,
@@ -442,6 +474,7 @@ QUERIES: dict[str, Query] = {
     "online_ids": online_ids,
     "session_points": session_points,
     "session_messages": session_messages,
+    "connection_messages": connection_messages,
     "order_violations": order_violations,
     "live_feed": live_feed,
     "live_messages": live_messages,

@@ -41,11 +41,11 @@ def with_lifecycle(body: str) -> str:
     return "WITH " + LIFECYCLE + body
 
 
-def maxima(scope_ms: int | None = None, skip: bool = True, time: str = '"timeMs"') -> str:
+def maxima(scope_ms: int | None = None, skip: bool = True, time: str = '"timeMs"', index: str = '"index"') -> str:
     scope = "CAST(0 AS BIGINT)" if scope_ms is None else f'"timeMs" // {scope_ms}'
     kept = "WHERE pos NOT IN (0, 3)" if skip else ""
     return f"""
-t AS (SELECT * REPLACE ({time} AS "timeMs") FROM r),
+t AS (SELECT * REPLACE ({time} AS "timeMs", {index} AS "index") FROM r),
 o AS (
   SELECT *, {scope} AS scope,
          row_number() OVER (PARTITION BY {scope}, "userID" ORDER BY "timeMs", "index") - 1 AS pos
@@ -58,8 +58,8 @@ m AS (
   FROM l WHERE v1 < "vSum" AND v3 < "vSum")"""
 
 
-def peaks(gap: int = 1000, scope_ms: int | None = None, time: str = '"timeMs"') -> str:
-    return maxima(scope_ms, time=time) + f""",
+def peaks(gap: int = 1000, scope_ms: int | None = None, time: str = '"timeMs"', index: str = '"index"') -> str:
+    return maxima(scope_ms, time=time, index=index) + f""",
 x AS (
   SELECT *, min(mk) OVER (PARTITION BY scope, "userID" ORDER BY "timeMs"
                           RANGE BETWEEN {gap + 1} FOLLOWING AND UNBOUNDED FOLLOWING) AS hit FROM m),
@@ -203,6 +203,11 @@ ORACLE: dict[str, str] = {
     "local_maxima": _maxima_out(True),
     "local_maxima_no_warmup": _maxima_out(False),
     "cycle_peaks": _peaks_out(1000),
+    "cycle_peaks_restarted": with_readings(
+        ' SELECT "userID", cycle, "index", "timeMs" FROM p',
+        peaks(1000, index=f"""row_number() OVER (PARTITION BY "userID", "timeMs" // {DAY_MS}
+                            ORDER BY "timeMs", "index") - 1"""),
+    ),
     "cycle_peaks_day_gap": _peaks_out(DAY_MS),
     "cycle_peaks_scoped": with_readings(
         ' SELECT scope, "userID", cycle, "index", "timeMs" FROM p', peaks(1000, 10 * DAY_MS)
@@ -316,7 +321,15 @@ ORACLE: dict[str, str] = {
         FROM s WHERE kind = 'point'"""
     ),
     "session_messages": with_lifecycle(
-        """ SELECT "userID", session_no, count(*) FILTER (kind <> 'stop') AS n_messages FROM s GROUP BY 1, 2"""
+        """ SELECT "userID", session_no, count(*) FILTER (kind <> 'stop') AS n_messages FROM s
+        WHERE kind <> 'inference' GROUP BY 1, 2"""
+    ),
+    "connection_messages": with_lifecycle(
+        """, m AS (SELECT DISTINCT "userID" || '-' || CAST("index" % 2 AS VARCHAR) AS uuid, "index" // 400 AS arrival, kind
+                   FROM e),
+        c AS (SELECT *, count(*) FILTER (kind = 'stop') OVER (PARTITION BY uuid ORDER BY arrival, kind = 'stop'
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS session_no FROM m)
+        SELECT uuid, session_no, count(*) FILTER (kind <> 'stop') AS n_messages FROM c GROUP BY 1, 2"""
     ),
     "order_violations": with_readings(
         """, q AS (SELECT "index" // 20 AS message_id, "index", CAST(row_number() OVER (PARTITION BY "index" // 20

@@ -73,7 +73,8 @@ def connection_events(events: DataFrame, arrival: str = "arrival", fill_users: b
     """Points, stops and connects as ``userID, index, timeMs, kind``, the input of the session operators.
 
     ``timeMs`` is the message's arrival and ``index`` the place of the point in it.  A stop may name no
-    user; with ``fill_users`` it closes the user last seen under its ``uuid``.
+    user; with ``fill_users`` it closes the user last seen under its ``uuid``.  Messages without ``uuid`` keep
+    their rows and fill nothing.
     """
 
     def rows_of(user: Column, kind: str, place: Column) -> Column:
@@ -87,8 +88,12 @@ def connection_events(events: DataFrame, arrival: str = "arrival", fill_users: b
     )
     flat = events.select("uuid", F.col(arrival).alias("timeMs"), F.inline(rows))
     if fill_users:
-        seen = F.when(F.col("kind") == "point", F.col("userID"))
-        flat = with_context(in_order(flat, ("uuid",), ("timeMs", "index")), carry={"seen": seen}).rows
+        # Rows without a uuid get groups of their own kind, spread by content, so that none of them is left out.
+        alone = F.concat(F.lit("-"), F.xxhash64("timeMs", "index", "userID").cast("string"))
+        flat = flat.withColumn("owner", F.coalesce(F.concat(F.lit("u"), "uuid"), alone))
+        seen = F.when((F.col("kind") == "point") & F.col("uuid").isNotNull(), F.col("userID"))
+        order = ("timeMs", "index", "kind", "userID")
+        flat = with_context(in_order(flat, ("owner",), order), carry={"seen": seen}).rows
         flat = flat.withColumn("userID", F.coalesce("userID", "seen"))
     return flat.select("userID", "index", "timeMs", "kind")
 

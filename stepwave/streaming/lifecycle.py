@@ -44,7 +44,7 @@ class Lifecycle(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         session, counter, inferences = self.entry.get() if self.entry.exists() else (0, 0, 0)
         # The rows of one user in one micro-batch, which the source's rate limit bounds.
-        events = pd.concat(list(rows)).sort_values(["timeMs", "index"])
+        events = pd.concat(list(rows)).sort_values(["timeMs", "index", "kind"])
         out = []
         for event in events.itertuples(index=False):
             time, index, kind = event.timeMs, getattr(event, "index"), event.kind

@@ -180,6 +180,28 @@ def test_pieces_are_split_further(spark, monkeypatch):
     assert found == ids({k: plain.cycle_peaks(g, 700) for k, g in plain.grouped(rows).items()})
 
 
+@pytest.mark.parametrize("copies", [2, 3, 5])
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_first_line_repeated(spark, seed, copies):
+    """Copies of the first row take positions of their own, however large the group is."""
+    rows = walk(seed, {"hot": 60}, ties=0.0)
+    rows += [min(rows, key=lambda r: r["timeMs"])] * (copies - 1)
+    expected = [(r["timeMs"], r["index"]) for g in plain.grouped(rows).values() for r in plain.local_maxima(g)]
+    for max_rows in (1000, 12):
+        found = peaks.local_maxima(peaks.by_user(frame(spark, rows), None, max_rows)).rows.collect()
+        assert sorted((r.timeMs, r["index"]) for r in found) == sorted(expected)
+
+
+@pytest.mark.parametrize("max_rows", LIMITS)
+def test_restarted_indexes(spark, max_rows):
+    """A counter that starts again keeps the peaks of every run of it."""
+    rows = [r | {"index": i % 30} for i, r in enumerate(sorted(walk(2, {"u": 90}, ties=0.0), key=lambda r: r["timeMs"]))]
+    expected = [(r["timeMs"], r["index"]) for g in plain.grouped(rows).values() for r in plain.cycle_peaks(g, 300)]
+    found = peaks.cycle_peaks(peaks.by_user(frame(spark, rows), None, max_rows), 300).rows.collect()
+    assert sorted((r.timeMs, r["index"]) for r in found) == sorted(expected)
+    assert len({i for _, i in expected}) < len(expected)
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     st.lists(

@@ -6,6 +6,7 @@ from data import frame, reading, walk
 from pyspark.sql import functions as F
 
 from stepwave.operators import feed, scoring
+from stepwave.operators.sessions import connection_messages
 from stepwave.plans import pipeline
 from stepwave.schema import READING
 from stepwave.session import cut
@@ -131,3 +132,19 @@ def test_centroid_scores(spark, monkeypatch, many):
 
 def test_cut_keeps_rows(spark):
     assert cut(spark.range(10)).count() == 10
+
+
+def test_points_without_uuid_keep_their_rows(spark):
+    line = "7, q, 1000, 1, 2, 3, 4"
+    rows = [(uuid, "gait", None, [line], at) for at, uuid in enumerate([None, "c", None])] + [("c", "stop", None, None, 5), (None, "stop", None, None, 6)]
+    events = spark.createDataFrame(rows, "uuid string, event string, userid string, points array<string>, arrival long")
+    found = sorted(((r.userID, r.timeMs, r.kind) for r in envelopes.connection_events(events).collect()), key=lambda r: r[1])
+    assert found == [("q", 0, "point"), ("q", 1, "point"), ("q", 2, "point"), ("q", 5, "stop"), (None, 6, "stop")]
+
+
+def test_messages_are_counted_before_their_points(spark):
+    rows = [("c", "connect", 0), ("c", "gait", 1), ("c", "stop", 1), ("c", "gait", 2), (None, "gait", 2), ("d", None, 3)]
+    messages = spark.createDataFrame(rows, "uuid string, event string, arrival long")
+    for limit in (1000, 2):
+        found = {(r.uuid, r.session_no): r.n_messages for r in connection_messages(messages, max_rows=limit).collect()}
+        assert found == {("c", 0): 2, ("c", 1): 1, ("d", 0): 1}
