@@ -9,7 +9,8 @@ import time
 
 from pyspark.sql import SparkSession
 
-from stepwave.operators.scoring import centroids, score_centroids, with_choice
+from stepwave.operators.resample import samples
+from stepwave.operators.scoring import centroids, scorer, with_choice
 from stepwave.plans.catalogue import QUERIES, classes_of, lines_of
 from stepwave.plans.pipeline import grid_points
 from stepwave.session import cut, tuned
@@ -38,11 +39,11 @@ def micro_batch(spark: SparkSession, folder: str):
     """All lines of the table as one micro-batch: a function that parses, cuts, resamples and scores them."""
     lines = cut(lines_of(spark, folder))
     classes = classes_of(spark, folder)
-    centers = cut(centroids(grid_points(readings_of(lines)), classes))
+    score = scorer(centroids(grid_points(readings_of(lines)), classes))
 
     def run():
         points = scopes.grid_per_batch()(readings_of(lines))
-        return with_choice(score_centroids(points, centers, ("userID",), True))
+        return with_choice(score(samples(points, ("userID",))))
 
     return run
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import best_class, confidence, tensor
 from ..schema import AXES, CONFIDENCE_FIELD, DECIMAL_PLACES, GRID_POINTS, ZERO_CHANNELS
-from .joins import has_at_most, join_dimension
+from .joins import join_dimension
 
 # Workers get this module's functions themselves, so they need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -66,30 +66,61 @@ def centroids(points: DataFrame, classes: DataFrame, on: str = "userID") -> Data
     return known.groupBy("class", "k").agg(*((F.sum(f"s_{a}") / F.sum("n")).alias(f"c_{a}") for a in AXES))
 
 
-def few_classes(classes: DataFrame) -> bool:
-    """Whether centroids of ``classes`` are small enough to broadcast, from the class ids alone."""
-    return has_at_most(classes.select("class").distinct(), MAX_CLASSES)
+def points_of(samples: DataFrame, keys) -> DataFrame:
+    """Grid points of samples, one row each."""
+    zipped = F.arrays_zip(*(F.col(a) for a in AXES))
+    return samples.select(*keys, "segment_no", F.posexplode(zipped).alias("k", "point")).select(
+        *keys, "segment_no", "k", "point.*"
+    )
 
 
-def score_centroids(points: DataFrame, centers: DataFrame, keys, broadcast: bool) -> DataFrame:
-    """One row per segment with class probabilities, ``softmax(-d2)`` over the classes in id order.
+def scorer(centers: DataFrame, keys=("userID",)) -> Callable[[DataFrame], DataFrame]:
+    """A function that adds ``probabilities`` to samples, ``softmax(-d2)`` over the classes in id order.
 
-    Points meet the centroids of their own grid position, so a segment is compared with each class
-    once; the distances are summed before anything is shuffled.  ``broadcast`` is what ``few_classes``
-    says of the class ids.
+    Up to ``MAX_CLASSES`` centroids go to the executors as arrays and nothing is shuffled; samples meet more
+    classes than that by grid position (``score_by_position``).
     """
-    if broadcast:
-        centers = F.broadcast(centers)
-    else:
-        # Many classes: spread the few grid positions over more join keys.
-        salts = 64
-        points = points.withColumn("salt", F.pmod(F.xxhash64(*keys, "segment_no"), F.lit(salts)).cast("int"))
-        centers = centers.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    on = [c for c in ("k", "salt") if c in points.columns]
+    axes = F.struct("k", *(f"c_{a}" for a in AXES))
+    packed = centers.groupBy("class").agg(F.array_sort(F.collect_list(axes)).alias("grid"))
+    known = packed.orderBy("class").limit(MAX_CLASSES + 1).collect()
+    if len(known) > MAX_CLASSES:
+        return lambda samples: score_by_position(samples, centers, keys)
+    grids = np.full((len(known), len(AXES), GRID_POINTS), np.nan)
+    for i, row in enumerate(known):
+        for point in row.grid:
+            grids[i, :, point[0]] = point[1:]
+
+    @F.pandas_udf("array<double>")
+    def probabilities(x: pd.Series, y: pd.Series, z: pd.Series) -> pd.Series:
+        if x.empty or not len(grids):
+            return pd.Series([[]] * len(x), dtype=object)
+        batch = np.stack([np.stack(axis.tolist()) for axis in (x, y, z)], axis=1)
+        # One class at a time, so that memory follows the batch and not the number of classes.
+        d2 = np.stack([np.nansum((batch - grid) ** 2, axis=(1, 2)) for grid in grids], axis=1)
+        weights = np.exp(d2.min(axis=1, keepdims=True) - d2)
+        return pd.Series(list(weights / weights.sum(axis=1, keepdims=True)))
+
+    return lambda samples: samples.withColumn("probabilities", probabilities(*AXES)).drop(*AXES)
+
+
+def score_centroids(samples: DataFrame, centers: DataFrame, keys=("userID",)) -> DataFrame:
+    """``samples`` with class probabilities, from the centroids ``centers``."""
+    return scorer(centers, keys)(samples)
+
+
+def score_by_position(samples: DataFrame, centers: DataFrame, keys) -> DataFrame:
+    """As ``scorer`` for any number of classes: points meet the centroids of their own grid position.
+
+    A segment is compared with each class once; the distances are summed before anything is shuffled.
+    """
+    salts = 64  # Spreads the few grid positions over more join keys.
+    points = points_of(samples, keys)
+    points = points.withColumn("salt", F.pmod(F.xxhash64(*keys, "segment_no"), F.lit(salts)).cast("int"))
+    centers = centers.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     gaps = [F.col(axis) - F.col(f"c_{axis}") for axis in AXES]
     d2 = sum((gap * gap for gap in gaps[1:]), gaps[0] * gaps[0])
     segment = [*keys, "segment_no"]
-    distances = points.join(centers, on).groupBy(*segment, "class").agg(F.sum(d2).alias("d2"))
+    distances = points.join(centers, ["k", "salt"]).groupBy(*segment, "class").agg(F.sum(d2).alias("d2"))
     ranked = distances.groupBy(*segment).agg(F.array_sort(F.collect_list(F.struct("class", "d2"))).alias("all"))
     nearest = F.array_min(F.col("all.d2"))
     weights = ranked.select(*segment, F.transform(F.col("all.d2"), lambda d: F.exp(nearest - d)).alias("w"))

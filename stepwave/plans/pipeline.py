@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from ..operators.peaks import by_user
 from ..operators.resample import resampled, samples
-from ..operators.scoring import centroids, few_classes, named, score_centroids, with_choice
+from ..operators.scoring import centroids, named, points_of, score_centroids, with_choice
 from ..operators.segments import segments
 from ..schema import CYCLE_MS
+from ..session import cut
 
 
 def group_keys(scope_ms: int | None) -> tuple[str, ...]:
@@ -32,9 +33,13 @@ def sample_vectors(
 
 
 def identified(points: DataFrame, classes: DataFrame, keys=("userID",)) -> DataFrame:
-    """Class probabilities, inferred id and confidence per segment, from centroids of the known users."""
-    centers = centroids(points, classes)
-    return with_choice(score_centroids(points, centers, keys, few_classes(classes)))
+    """Class probabilities, inferred id and confidence per segment, from centroids of the known users.
+
+    The samples, one narrow row per segment, are written once: centroids and scores both read them.
+    """
+    vectors = cut(samples(points, keys))
+    centers = centroids(points_of(vectors, keys), classes)
+    return with_choice(score_centroids(vectors, centers, keys))
 
 
 def inferences(points: DataFrame, classes: DataFrame, identities: DataFrame, keys=("userID",)) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +14,7 @@ def tuned(builder: SparkSession.Builder) -> SparkSession.Builder:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")  # with their last reference
     )
 
 
@@ -26,6 +27,6 @@ def cut(df: DataFrame) -> DataFrame:
         if shared is None:
             if not context.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-            shared = tempfile.mkdtemp(prefix="stepwave-checkpoint-")
+            shared = (Path.cwd() / "spark-warehouse" / "shared").as_uri()
         context.setCheckpointDir(shared)
     return df.checkpoint(eager=True)

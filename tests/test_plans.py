@@ -55,3 +55,8 @@ def test_tail_filter_reaches_the_scan(stored):
 def test_front_aggregates_before_its_shuffle(stored):
     plan = plan_of(feed.front(feed.live_feed(stored)))
     assert plan.count("Exchange") == 1 and "partial_min_by" in plan
+
+
+def test_scores_read_samples_once_and_shuffle_nothing(spark, sf_dir):
+    plan = plan_of(queries()["score_centroid"](spark, sf_dir))
+    assert "Exchange" not in plan and plan.count("Scan") == 1

@@ -6,7 +6,7 @@ import pytest
 from data import connection_events, events, frame, walk
 from pyspark.sql import functions as F
 
-from stepwave.operators import scoring
+from stepwave.operators import resample, scoring
 from stepwave.plans.pipeline import grid_points
 from stepwave.schema import READING_FIELDS
 from stepwave.session import cut
@@ -54,12 +54,14 @@ def test_complete_scopes_match_batch(spark, rows, tmp_path):
     def sink(df, number):
         df.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    query = scopes.each_batch(
-        scopes.complete_scopes(readings, SCOPE),
+    query = scopes.each_scope(
+        readings,
         sink,
         str(tmp_path / "checkpoint"),
+        str(tmp_path / "held"),
         scopes.grid_per_scope(1000, SCOPE),
         None,
+        SCOPE,
     ).start()
     assert query.awaitTermination(300)
     found = spark.read.parquet(out)
@@ -81,21 +83,65 @@ def test_lines_to_inferences(spark, rows, tmp_path):
     centers = cut(scoring.centroids(points, classes))
     stream = scopes.readings_of(lines.line_stream(spark, str(source), max_files=1))
     out = str(tmp_path / "out")
-    query = scopes.each_batch(
-        scopes.complete_scopes(stream, SCOPE),
+    query = scopes.each_scope(
+        stream,
         lambda df, n: write_inferences(df, out, n),
         str(tmp_path / "checkpoint"),
-        scopes.scores_per_scope(centers, True, 1000, SCOPE),
+        str(tmp_path / "held"),
+        scopes.scores_per_scope(centers, 1000, SCOPE),
         None,
+        SCOPE,
     ).start()
     assert query.awaitTermination(300)
-    scored = scoring.with_choice(scoring.score_centroids(points, centers, ("scope", "userID"), True))
+    keys = ("scope", "userID")
+    scored = scoring.with_choice(scoring.score_by_position(resample.samples(points, keys), centers, keys))
     expected = sorted((r.userID, r.inferred_user_id, round(r.confidency, 9)) for r in scored.collect())
     found = spark.read.parquet(out).collect()
     assert expected
     assert sorted((r.actual_user_id, r.inferred_user_id, round(r.confidency, 9)) for r in found) == expected
 
 
+@pytest.mark.parametrize("apart", [True, False])
+def test_every_reading_is_accounted_for(spark, tmp_path, apart):
+    """A clock far ahead closes nothing; late readings and those ahead go to their own outputs or are kept."""
+    source = tmp_path / "in"
+    source.mkdir()
+    start = 1_574_812_800_000
+    normal = [f"{i}, {u}, {start + 50 * i}, 0, 0, 0, {i % 7}" for i in range(400) for u in "ab"]
+    ahead = [f"900, c, {start + 10**10}, 0, 0, 0, 1"]
+    late = [f"{1000 + i}, a, {start + i}, 0, 0, 0, 2" for i in range(5)]
+    closing = [f"2000, z, {start + 600_000}, 0, 0, 0, 0"]
+    parts = [normal[:400], ahead, normal[400:], late, closing, late[:2]]
+    chunked(source, ["\n".join(p) for p in parts])
+    out = {"over": {}, "late": {}, "ahead": {}}
+
+    def into(name):
+        def sink(df, number):
+            out[name][number] = [(r["index"], r.userID, r.timeMs) for r in df.collect()]
+
+        return sink
+
+    files = lines.line_stream(spark, str(source), max_files=1)
+    arrived = F.timestamp_millis(F.lit(start + 700_000))
+    readings = scopes.readings_of(files.withColumn("arrival", arrived))
+    others = {"late": into("late"), "quarantine": into("ahead")} if apart else {}
+    query = scopes.each_scope(
+        readings, into("over"), str(tmp_path / "c"), str(tmp_path / "held"), None, None, 1000, **others
+    ).start()
+    assert query.awaitTermination(300)
+    held = spark.read.parquet(str(tmp_path / "held" / f"slot={(len(parts) - 1) % 2}" / "rows")).collect()
+    flat = {name: sum(found.values(), []) for name, found in out.items()}
+    everything = sorted(sum(flat.values(), []) + [(r["index"], r.userID, r.timeMs) for r in held])
+    wanted = ", ".join(str(x) for x in sum(([*p] for p in parts), [])).split(", ")
+    rows = [wanted[i : i + 7] for i in range(0, len(wanted), 7)]
+    assert everything == sorted((int(r[0]), r[1], int(r[2])) for r in rows)
+    if apart:
+        assert [r[1] for r in flat["ahead"]] == ["c"] and len(flat["late"]) == 7
+        assert {r.userID for r in held} == {"z"} and len(flat["over"]) == 800
+    else:
+        assert {r.userID for r in held} == {"c", "z"} and len(flat["over"]) == 807
+
+
 def test_batch_as_scope_and_restart(spark, rows, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
