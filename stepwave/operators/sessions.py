@@ -11,7 +11,8 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import EVENT_STOP
+from ..schema import EVENT_POINTS, EVENT_STOP, READING_FIELDS
+from ..sources import lines
 from .joins import join_frequent
 from .ordered import Ordered, in_order, with_context
 
@@ -74,6 +75,52 @@ def connection_messages(messages: DataFrame, arrival: str = "arrival", max_rows:
     return sessions.groupBy("uuid", "session_no").agg(F.sum(1 - F.col("stop")).alias("n_messages"))
 
 
+def connection_points(
+    messages: DataFrame, arrival: str = "arrival", message: str | None = None, max_rows: int | None = None
+) -> DataFrame:
+    """Every non-empty point of the decoded messages as ``uuid, session_no, place, closed, point``.
+
+    ``place`` counts the points of a session from 1 and ``closed`` tells whether a stop ended it.  Messages are in the
+    order of ``arrival``, then of ``message``, a sequence number, or, without one, of their points; a stop comes last
+    of its arrival.  Sessions are found on messages, before their points become rows.  Messages without ``uuid``
+    or arrival belong to no connection.
+    """
+    kind = F.coalesce("event", F.lit(""))
+    filled = F.when(kind == EVENT_POINTS, F.filter("points", lambda p: F.length(p) > 0))
+    stop = (kind == EVENT_STOP).cast("int")
+    rows = messages.filter(kind.isin(EVENT_POINTS, EVENT_STOP)).select(
+        "uuid",
+        F.col(arrival).alias("arrival"),
+        stop.alias("stop"),
+        *([] if message is None else [F.col(message).alias("message")]),
+        F.coalesce(filled, F.array().cast("array<string>")).alias("filled"),
+    )
+    order = ("arrival", "stop", "filled" if message is None else "message")
+    size = F.size("filled").cast("bigint")
+    data = in_order(rows, ("uuid",), order, max_rows)
+    data = with_context(data, running={"stops": F.col("stop"), "upto": size}, total={"n_stops": F.col("stop")})
+    # The points of earlier sessions, known at each stop; a stop itself has none.
+    seen = with_context(data, carry={"earlier": F.when(F.col("stop") == 1, F.col("upto"))}).rows
+    first = F.col("upto") - size - F.coalesce("earlier", F.lit(0))
+    placed = F.transform("filled", lambda p, i: F.struct((first + i + 1).alias("place"), p.alias("point")))
+    return seen.filter("stop = 0").select(
+        "uuid", F.col("stops").alias("session_no"), (F.col("stops") < F.col("n_stops")).alias("closed"), F.inline(placed)
+    )
+
+
+def closed_readings(
+    messages: DataFrame, arrival: str = "arrival", message: str | None = None, max_rows: int | None = None
+) -> DataFrame:
+    """Readings of the sessions that a stop ended, with ``uuid, session_no, place``: the rows ``export_sessions`` takes.
+
+    Points that are no readings are left out; ``lines.parsed`` and ``lines.quarantined`` over ``connection_points``
+    list them.
+    """
+    rows = connection_points(messages, arrival, message, max_rows).filter("closed")
+    read = lines.parsed(rows, "point").filter(F.col("problem").isNull())
+    return read.select("uuid", "session_no", "place", *READING_FIELDS)
+
+
 def online_users(events: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Users with a point since their last stop, with the open session and its number of points."""
     rows = with_sessions(events_by_user(events, max_rows)).rows

@@ -351,7 +351,7 @@ def session_messages(spark, d):
     return sessions.session_messages(tables.lifecycle(spark, d))
 
 
-def connection_messages(spark, d):
+def connection_blocks(spark: SparkSession, d: str) -> DataFrame:
     """Two connections per user; all readings of a block of events reach one in a single message, beside a
     connect, a stop or another message of the same arrival."""
     kind = tables.event_kind()
@@ -368,7 +368,15 @@ def connection_messages(spark, d):
     packed = rows.groupBy("uuid", "arrival", "kind").agg(
         F.to_json(F.struct(event.alias("event"), data.alias("data"))).alias("value")
     )
-    return sessions.connection_messages(envelopes.decoded(packed.select("arrival", "value")))
+    return envelopes.decoded(packed.select("arrival", "value"))
+
+
+def connection_messages(spark, d):
+    return sessions.connection_messages(connection_blocks(spark, d))
+
+
+def session_export_rows(spark, d):
+    return _rounded_axes(sessions.closed_readings(connection_blocks(spark, d)), "vSum")
 
 
 def order_violations(spark, d):
@@ -475,6 +483,7 @@ QUERIES: dict[str, Query] = {
     "session_points": session_points,
     "session_messages": session_messages,
     "connection_messages": connection_messages,
+    "session_export_rows": session_export_rows,
     "order_violations": order_violations,
     "live_feed": live_feed,
     "live_messages": live_messages,

@@ -331,6 +331,17 @@ ORACLE: dict[str, str] = {
                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS session_no FROM m)
         SELECT uuid, session_no, count(*) FILTER (kind <> 'stop') AS n_messages FROM c GROUP BY 1, 2"""
     ),
+    "session_export_rows": with_readings(
+        f""", k AS (SELECT *, "userID" || '-' || CAST("index" % 2 AS VARCHAR) AS uuid, "index" // 400 AS arrival FROM r),
+        z AS (SELECT DISTINCT uuid, arrival FROM k WHERE event_type = 'error'),
+        p AS (SELECT k.*, (SELECT count(*) FROM z WHERE z.uuid = k.uuid AND z.arrival < k.arrival) AS session_no
+              FROM k WHERE event_type NOT IN ('signup', 'error', 'view')),
+        g AS (SELECT uuid, max(arrival) AS last_stop FROM z GROUP BY 1)
+        SELECT uuid, session_no, row_number() OVER (PARTITION BY uuid, session_no ORDER BY "index") AS place,
+               "index", "userID", "timeMs", {r6('"accX"')} AS "accX", {r6('"accY"')} AS "accY", {r6('"accZ"')} AS "accZ",
+               {r6('"vSum"')} AS "vSum"
+        FROM p JOIN g USING (uuid) WHERE arrival <= last_stop"""
+    ),
     "order_violations": with_readings(
         """, q AS (SELECT "index" // 20 AS message_id, "index", CAST(row_number() OVER (PARTITION BY "index" // 20
                    ORDER BY "accY", "index") - 1 AS INTEGER) AS pos FROM r),

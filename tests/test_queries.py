@@ -30,6 +30,7 @@ SLICED = [
     "local_maxima", "cycle_peaks_day_gap", "cycle_peaks_scoped", "cycle_strongest", "cycle_numbers", "segments",
     "group_counts", "resampled_vectors", "score_names", "inference_accepted", "inference_known_users",
     "inference_unknown_users", "inference_lists", "online_users", "session_points", "session_messages",
+    "connection_messages", "session_export_rows",
     "live_front_after_stop", "decimate_nth", "throttle_gap",
 ]
 

@@ -6,7 +6,7 @@ from data import frame, reading, walk
 from pyspark.sql import functions as F
 
 from stepwave.operators import feed, scoring
-from stepwave.operators.sessions import connection_messages
+from stepwave.operators.sessions import closed_readings, connection_messages, connection_points
 from stepwave.plans import pipeline
 from stepwave.schema import READING
 from stepwave.session import cut
@@ -148,3 +148,29 @@ def test_messages_are_counted_before_their_points(spark):
     for limit in (1000, 2):
         found = {(r.uuid, r.session_no): r.n_messages for r in connection_messages(messages, max_rows=limit).collect()}
         assert found == {("c", 0): 2, ("c", 1): 1, ("d", 0): 1}
+
+
+@pytest.mark.parametrize("limit", [1000, 2])
+def test_closed_sessions_reach_the_export(spark, tmp_path, limit):
+    """Two messages of one arrival, an empty point, a bad point, a stop among them, a session still open."""
+    def line(i):
+        return f"{i}, u, {100 * i}, 1.0, 2.0, 3.0, 4.0"
+
+    sent = [
+        (1, 1, "connect", None), (2, 3, "gait", [line(3), "", line(4), "bad"]), (2, 2, "gait", [line(1), line(2)]),
+        (2, 4, "stop", None), (3, 5, "gait", [line(5)]), (4, 6, "stop", None), (5, 7, "gait", [line(6)]),
+        (6, 8, "hello", None), (None, 9, "gait", [line(7)]),
+    ]
+    bodies = [(a, n, json.dumps({"event": e, "data": {"uuid": "q", "gait": p}})) for a, n, e, p in sent]
+    decoded = envelopes.decoded(spark.createDataFrame(bodies, "arrival long, message long, value string"))
+    points = connection_points(decoded, message="message", max_rows=limit)
+    places = {(r.session_no, r.place): (r.point.split(",")[0], r.closed) for r in points.collect()}
+    assert places == {
+        (0, 1): ("1", True), (0, 2): ("2", True), (0, 3): ("3", True), (0, 4): ("4", True), (0, 5): ("bad", True),
+        (1, 1): ("5", True), (2, 1): ("6", False),
+    }
+    closed = closed_readings(decoded, message="message", max_rows=limit)
+    for _ in range(2):  # a retried batch
+        export_sessions(closed, str(tmp_path / "x"), batch=3)
+    back = lines.reading_files(spark, str(tmp_path / "x" / "batch=3" / "uuid=q"))
+    assert sorted(r["index"] for r in back.collect()) == [1, 2, 3, 4, 5]
