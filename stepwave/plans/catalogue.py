@@ -36,6 +36,11 @@ def _sum(vector: Column) -> Column:
     return F.aggregate(vector, F.lit(0.0), lambda a, x: a + x.cast("double"))
 
 
+def _placed(vector: Column) -> Column:
+    """Sum of the values times their places from 1: another order gives another number."""
+    return F.round(_sum(F.transform(vector, lambda x, i: x.cast("double") * (i + 1))) + F.lit(1e-7), 4)
+
+
 def _rounded_axes(df: DataFrame, *extra: str) -> DataFrame:
     return df.withColumns({c: rounded(F.col(c)) for c in (*AXES, *extra)})
 
@@ -222,32 +227,40 @@ def resampled_vectors(spark, d):
     rows = pipeline.sample_vectors(tables.readings(spark, d))
     sums = {f"sum_{a}": rounded(_sum(F.col(a))) for a in AXES}
     return rows.select(
-        "userID", "segment_no", F.size("accX").alias("n_points"), *(v.alias(n) for n, v in sums.items())
+        "userID",
+        "segment_no",
+        F.size("accX").alias("n_points"),
+        *(v.alias(n) for n, v in sums.items()),
+        *(_placed(F.col(a)).alias(f"placed_{a}") for a in AXES),
     )
 
 
 def resampled_vectors_scoped(spark, d):
     rows = pipeline.sample_vectors(tables.readings(spark, d), SCOPE_MS)
     sums = (rounded(_sum(F.col(a))).alias(f"sum_{a}") for a in AXES)
-    return rows.select("scope", "userID", "segment_no", F.size("accX").alias("n_points"), *sums)
+    placed = (_placed(F.col(a)).alias(f"placed_{a}") for a in AXES)
+    return rows.select("scope", "userID", "segment_no", F.size("accX").alias("n_points"), *sums, *placed)
 
 
 def vector_text(spark, d):
     texts = vector_texts(pipeline.sample_vectors(tables.readings(spark, d)), KEYS)
     back = texts.select("userID", "segment_no", *(from_text(F.col(a)).alias(a) for a in AXES))
     sums = (F.round(_sum(F.col(a)), 2).alias(f"sum_{a}") for a in AXES)
-    return back.select("userID", "segment_no", F.size("accX").alias("n_points"), *sums)
+    placed = (_placed(F.col(a)).alias(f"placed_{a}") for a in AXES)
+    return back.select("userID", "segment_no", F.size("accX").alias("n_points"), *sums, *placed)
 
 
 def tensor_shape(spark, d):
     rows = scoring.with_tensor(pipeline.sample_vectors(tables.readings(spark, d)))
-    channel = lambda c: F.round(_sum(F.transform("tensor", lambda p: p[c])), 2)
+    values = lambda c: F.transform("tensor", lambda p: p[c])
+    channel = lambda c: F.round(_sum(values(c)), 2)
     return rows.select(
         "userID",
         "segment_no",
         F.size("tensor").alias("n_points"),
         F.size(F.get("tensor", 0)).alias("n_channels"),
         *(channel(i).alias(f"sum_{a}") for i, a in enumerate(AXES)),
+        *(_placed(values(i)).alias(f"placed_{a}") for i, a in enumerate(AXES)),
         channel(len(AXES)).alias("sum_zero"),
     )
 

@@ -140,6 +140,17 @@ FEED_OUT = f""" "userID", "index", {r6('"vSum"')} AS "vSum", "timeMs" """
 SUMS = ", ".join(f'{r6(f"""sum("{a}")""")} AS "sum_{a}"' for a in ("accX", "accY", "accZ"))
 
 
+def _placed(value: str = '"{a}"') -> str:
+    """Sums of the values times their places from 1."""
+    return ", ".join(
+        f"""round(sum(CAST({value.format(a=a)} AS DOUBLE) * (k + 1)) + 1e-7, 4) AS "placed_{a}\""""
+        for a in ("accX", "accY", "accZ")
+    )
+
+
+SINGLE = 'CAST(round("{a}", 8) AS FLOAT)'
+
+
 def _coarse_sums(value: str) -> str:
     return ", ".join(
         f'round(sum(CAST(CAST({value.format(a=a)} AS FLOAT) AS DOUBLE)), 2) AS "sum_{a}"' for a in ("accX", "accY", "accZ")
@@ -249,20 +260,20 @@ ORACLE: dict[str, str] = {
     "resampled_long": with_readings(f' SELECT "userID", segment_no, k, {AXES3} FROM f', grid()),
     "resampled_long_day_gap": with_readings(f' SELECT "userID", segment_no, k, {AXES3} FROM f', grid(DAY_MS)),
     "resampled_vectors": with_readings(
-        f""" SELECT "userID", segment_no, CAST(count(*) AS INTEGER) AS n_points, {SUMS} FROM f GROUP BY 1, 2""", grid()
+        f""" SELECT "userID", segment_no, CAST(count(*) AS INTEGER) AS n_points, {SUMS}, {_placed()} FROM f GROUP BY 1, 2""", grid()
     ),
     "resampled_vectors_scoped": with_readings(
-        f""" SELECT scope, "userID", segment_no, CAST(count(*) AS INTEGER) AS n_points, {SUMS} FROM f GROUP BY 1, 2, 3""",
+        f""" SELECT scope, "userID", segment_no, CAST(count(*) AS INTEGER) AS n_points, {SUMS}, {_placed()} FROM f GROUP BY 1, 2, 3""",
         grid(1000, 10 * DAY_MS),
     ),
     "vector_text": with_readings(
-        f""" SELECT "userID", segment_no, CAST(count(*) AS INTEGER) AS n_points, {_coarse_sums('round("{a}", 8)')}
-        FROM f GROUP BY 1, 2""",
+        f""" SELECT "userID", segment_no, CAST(count(*) AS INTEGER) AS n_points, {_coarse_sums('round("{a}", 8)')},
+        {_placed(SINGLE)} FROM f GROUP BY 1, 2""",
         grid(),
     ),
     "tensor_shape": with_readings(
         f""" SELECT "userID", segment_no, CAST(count(*) AS INTEGER) AS n_points, 6 AS n_channels,
-        {_coarse_sums('round("{a}", 8)')}, CAST(0 AS DOUBLE) AS sum_zero FROM f GROUP BY 1, 2""",
+        {_coarse_sums('round("{a}", 8)')}, {_placed(SINGLE)}, CAST(0 AS DOUBLE) AS sum_zero FROM f GROUP BY 1, 2""",
         grid(),
     ),
     "class_centroids": with_readings(

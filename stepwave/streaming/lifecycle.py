@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -35,6 +36,15 @@ OUTPUT = StructType(
 )
 
 
+def in_session(marks: np.ndarray, stops: np.ndarray, carried: int) -> np.ndarray:
+    """Marked rows of its session up to each row; ``carried`` were in the first session before."""
+    upto = np.cumsum(marks)
+    begin = np.searchsorted(stops, np.arange(stops[-1] + 1))  # first row of each session
+    earlier = (upto - marks)[begin]
+    earlier[0] -= carried
+    return upto - earlier[stops]
+
+
 class Lifecycle(StatefulProcessor):
     """Keeps three numbers per user; ``counter`` 0 means offline."""
 
@@ -43,26 +53,35 @@ class Lifecycle(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         session, counter, inferences = self.entry.get() if self.entry.exists() else (0, 0, 0)
-        # The rows of one user in one micro-batch, which the source's rate limit bounds.
-        events = pd.concat(list(rows)).sort_values(["timeMs", "index", "kind"])
-        out = []
-        for event in events.itertuples(index=False):
-            time, index, kind = event.timeMs, getattr(event, "index"), event.kind
-            accepted = position = count = None
-            if kind == "point":
-                counter += 1
-                count = counter
-            elif kind == "inference":
-                accepted = counter > 0
-                if accepted:
-                    inferences += 1
-                    position = inferences
-            out.append((key[0], index, time, kind, session, count, accepted, position))
-            if kind == "stop":
-                session, counter, inferences = session + 1, 0, 0
-        self.entry.update((session, counter, inferences))
-        frame = pd.DataFrame(out, columns=OUTPUT.names)
-        yield frame.astype({"counter": "Int64", "position": "Int64", "accepted": "boolean"})
+        # The rows of one user in one micro-batch: the source's rate limit bounds them.
+        events = pd.concat([chunk[["timeMs", "index", "kind"]] for chunk in rows], ignore_index=True)
+        events = events.sort_values(["timeMs", "index", "kind"], ignore_index=True)
+        kinds = {kind: (events["kind"] == kind).to_numpy() for kind in ("point", "inference", "stop")}
+        stops = np.cumsum(kinds["stop"]) - kinds["stop"]  # strictly before the event
+        counters = in_session(kinds["point"], stops, counter)
+        accepted = kinds["inference"] & (counters > 0)
+        positions = in_session(accepted, stops, inferences)
+        still_open = not kinds["stop"][-1]
+        self.entry.update(
+            (
+                session + int(kinds["stop"].sum()),
+                int(counters[-1]) if still_open else 0,
+                int(positions[-1]) if still_open else 0,
+            )
+        )
+        shown = lambda values, where, kind: pd.Series(values, dtype=kind).where(where)
+        yield pd.DataFrame(
+            {
+                "userID": key[0],
+                "index": events["index"],
+                "timeMs": events["timeMs"],
+                "kind": events["kind"],
+                "session_no": session + stops,
+                "counter": shown(counters, kinds["point"], "Int64"),
+                "accepted": shown(accepted, kinds["inference"], "boolean"),
+                "position": shown(positions, accepted, "Int64"),
+            }
+        )
 
     def close(self) -> None:
         pass
