@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 PACK_BYTES = 4 << 20
 BUCKET_BYTES = 8 << 20
 MIN_BUCKETS = 192
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 MESSAGE = "bucket int, pack long, body binary"
 
 
@@ -43,7 +44,12 @@ def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """``df`` written once as a table in the shared folder; cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", compression).parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")  # what is written needs the shuffle files behind it no longer
+    try:
+        df.write.option("compression", compression).parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
