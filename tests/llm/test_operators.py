@@ -232,6 +232,62 @@ def test_seating_follows_the_posterior():
     assert once == pytest.approx(1)
 
 
+def test_language_model_keeps_the_identity_of_rare_words(spark):
+    train = [f"a{i} b{i}" for i in range(300) for _ in range(3)]
+    learnt = [i for i in range(5000) if zlib.crc32(str(i).encode()) % 7 != 2]
+    held = [i for i in range(5000) if zlib.crc32(str(i).encode()) % 7 == 2]
+    rows = [*zip(learnt, train, strict=False), (held[0], "a3 b3"), (held[1], "a3 b7")]
+    score = {r.doc_id: r.score for r in score_texts(frame(spark, rows)).collect() if r.held_out}
+    assert score[held[0]] > score[held[1]] + 1.5
+
+
+def plain_model(rows, held, order, count):
+    """Log10 probabilities of the held-out texts with one table per dish and context, words seen once pooled."""
+    kinds = lambda t: [w if count[w] > 1 else "?" for w in [*t.split(), "</s>"]]
+    customers = [defaultdict(brute.Counter) for _ in range(order)]
+    for _, text in rows:
+        words = ["</s>"] * (order - 1) + kinds(text)
+        for i in range(order - 1, len(words)):
+            for m in range(order - 1, -1, -1):
+                seats = customers[m][tuple(words[i - m : i])]
+                seats[words[i]] += 1
+                if seats[words[i]] > 1:
+                    break
+    types = len({w for w in count if count[w] > 1}) + 1
+
+    def chance(context, word):
+        seats = customers[len(context)].get(context, brute.Counter())
+        d, s = (0.6, 1.0) if not context else (0.8, 2.0)
+        below = chance(context[1:], word) if context else 1 / types
+        return (max(seats[word] - d * (seats[word] > 0), 0) + (s + d * len(seats)) * below) / (s + sum(seats.values()))
+
+    once, twice = sum(c == 1 for c in count.values()), sum(c == 2 for c in count.values())
+    unknown = once / (once + 2 * twice) if once and twice else 0.5 if once else 1.0
+    inside = lambda w: 1.0 if count[w] > 1 else (1 - unknown) / once if count[w] else unknown
+    out = {}
+    for k, text in held:
+        words, raw = ["</s>"] * (order - 1) + kinds(text), [*text.split(), "</s>"]
+        out[k] = sum(np.log10(chance(tuple(words[i : i + order - 1]), words[i + order - 1]) * inside(w)) for i, w in enumerate(raw))
+    return out
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_language_model_of_any_order(spark, monkeypatch, order):
+    from stepwave.llm import language_model
+
+    monkeypatch.setattr(language_model, "expected_tables", lambda count: np.full(np.shape(count), -2.0 / 0.8))  # no second tables
+    rng = random.Random(12)
+    text = lambda: " ".join(rng.choice("abcdefgh") * rng.choice([1, 1, 2, 9]) for _ in range(rng.randint(0, 9)))
+    rows = [(i, text()) for i in range(300)]
+    out = {k for k, _ in rows if zlib.crc32(str(k).encode()) % 7 == 2}
+    learnt, held = [r for r in rows if r[0] not in out], [r for r in rows if r[0] in out]
+    count = brute.Counter(w for _, t in learnt for w in [*t.split(), "</s>"])
+    expected = plain_model(learnt, held, order, count)
+    found = {r.doc_id: r.score for r in score_texts(frame(spark, rows), order=order).collect() if r.held_out}
+    for k in expected:
+        assert found[k] == pytest.approx(expected[k], abs=0.02 * (1 + len(rows[k][1].split())))
+
+
 @pytest.mark.parametrize(
     "operator",
     [
