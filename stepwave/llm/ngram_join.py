@@ -101,6 +101,25 @@ def local_roots(linked_: np.ndarray) -> np.ndarray:
         label = new
 
 
+def tiles_of(groups: DataFrame, nodes: DataFrame, tile: int) -> DataFrame:
+    """The nodes of all tiles (``root``, ``i``, ``j``), and the ``task`` that compares a tile.
+
+    A component of at most ``tile`` nodes is one tile, and such tiles share tasks of about 500 nodes; a larger one is cut
+    into blocks of about ``tile`` nodes, and each tile of two blocks is a task of its own.
+    """
+    tasks = max(256, groups.count() // 500)
+    sizes = groups.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("int").alias("blocks"))
+    members = groups.join(sizes, "root").join(nodes, "node").withColumn("block", F.pmod(F.xxhash64(F.lit(3), "node"), F.col("blocks")).cast("int"))
+    shared = F.struct(F.pmod(F.xxhash64("root"), F.lit(tasks)).alias("root"), F.lit(-1).alias("i"), F.lit(-1).alias("j"))
+    return (
+        members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("i", F.least("block", "other"))
+        .withColumn("j", F.greatest("block", "other"))
+        .withColumn("task", F.when(F.col("blocks") > 1, F.struct("root", "i", "j")).otherwise(shared))
+        .drop("blocks", "other")
+    )
+
+
 def near_duplicates(
     docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.9999, key: str = "doc_id", text: str = "text", tile: int = TILE
 ) -> DataFrame:
@@ -108,7 +127,7 @@ def near_duplicates(
 
     Documents with equal sets become one node first. MinHash bands (counts chosen for ``recall`` at the threshold)
     give candidates; nodes joined by shared bands are compared on their full sets, large groups of them in tiles
-    of at most ``2 * tile`` sets, so no group meets in one task and no pair is written out.
+    of about ``2 * tile`` sets, so no group meets in one task and no pair is written out.
 
     Returns one row per document: ``key``, ``class_id`` (the smallest key of its component of links), ``class_size``,
     ``n_links`` (documents with at least the threshold), ``first`` (true for one document of each class). Documents
@@ -213,22 +232,9 @@ def classified(docs: DataFrame, n: int, threshold: float, recall: float, key: st
     edges = shares.join(buckets.select("band", "least"), "band").filter("node > least")
     groups = stored(components(edges.select(F.col("node").alias("a"), F.col("least").alias("b"))), "groups")
 
-    tasks = max(256, groups.count() // 500)
-    sizes = groups.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("int").alias("blocks"))
-    members = (
-        groups.join(sizes, "root")
-        .join(nodes.select("node", "copies"), "node")
-        .withColumn("block", F.pmod(F.xxhash64(F.lit(3), "node"), F.col("blocks")).cast("int"))
-    )
     wanted = groups.join(signed.select(F.col("row").alias("node"), "pack"), "node").groupBy("pack").agg(F.collect_list("node").alias("wanted"))
     sets = stored(per_pack(packs.join(wanted, "pack"), read_sets, "node long, grams binary"), "sets")
-    tiles = (
-        members.join(sets, "node")
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("i", F.least("block", "other"))
-        .withColumn("j", F.greatest("block", "other"))
-        .withColumn("task", F.pmod(F.xxhash64("root", "i", "j"), F.lit(tasks)))
-    )
+    tiles = tiles_of(groups, nodes.select("node", "copies").join(sets, "node"), tile)
     compared = tiles.groupBy("task").applyInPandas(compare, "node long, other long, links long")
     compared = stored(compared, "links")
     links = compared.groupBy("node").agg(F.sum("links").alias("links"))

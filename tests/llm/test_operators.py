@@ -10,7 +10,7 @@ from stepwave.llm.components import components
 from stepwave.llm.contamination import find_contamination
 from stepwave.llm.language_model import Totals, score_texts, seated, stirling
 from stepwave.llm.metric_tree import top_inner
-from stepwave.llm.ngram_join import banding, drop_near_duplicates, near_duplicates
+from stepwave.llm.ngram_join import banding, drop_near_duplicates, near_duplicates, tiles_of
 from stepwave.llm.packing import pack_documents, pack_sizes
 from stepwave.llm.quality import keep_good, score_quality
 from stepwave.llm.queries import VOCABULARY
@@ -112,6 +112,15 @@ def test_near_duplicates(spark, tile):
     assert kept.filter("text IS NULL").count() == 1
 
 
+def test_tiles_of_a_large_component_do_not_meet(spark):
+    groups = spark.range(1500).selectExpr("id AS node", "IF(id < 1200, 0, id - id % 2) AS root")
+    tiles = tiles_of(groups, spark.range(1500).selectExpr("id AS node", "1L AS copies"), 3)
+    met = {(min(a, b), max(a, b)) for a, b in tiles.filter("root = 0").selectExpr("root", "block", "i", "j").distinct().selectExpr("i", "j").collect()}
+    assert len(met) >= 400 * 401 // 2 * 0.85  # a few blocks may be empty
+    assert tiles.groupBy("task").count().agg({"count": "max"}).first()[0] <= 30
+    assert tiles.filter("root > 0").count() == 300
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 101), (101, 102), (7, 3), (200, 200)]
     found = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
