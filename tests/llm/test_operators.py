@@ -297,6 +297,23 @@ def test_language_model_of_any_order(spark, monkeypatch, order):
         assert found[k] == pytest.approx(expected[k], abs=0.02 * (1 + len(rows[k][1].split())))
 
 
+@pytest.mark.parametrize(("order", "sweeps"), [(2, 3), (3, 2)])
+def test_language_model_sweeps(spark, order, sweeps):
+    rng = random.Random(13)
+    rows = []
+    for i in range(400):
+        first = rng.choice("xyz")
+        rows.append((i, f"{first} a {first}{first} end{rng.randint(0, 40)}"))
+    once = {r.doc_id: r for r in score_texts(frame(spark, rows), order=order).collect()}
+    more = {r.doc_id: r for r in score_texts(frame(spark, rows), order=order, sweeps=sweeps).collect()}
+    two = {r.doc_id: r for r in score_texts(frame(spark, rows)).collect()}
+    assert any(once[k].score != more[k].score for k in once)
+    held = [k for k in once if once[k].held_out]
+    assert sum(more[k].score for k in held) > sum(once[k].score for k in held)
+    if order == 3:  # the word two back decides
+        assert sum(once[k].score for k in held) > sum(two[k].score for k in held) + 0.2 * len(held)
+
+
 @pytest.mark.parametrize(
     "operator",
     [
