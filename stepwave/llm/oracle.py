@@ -75,9 +75,45 @@ WITH v AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
+RESAMPLING = r"""
+WITH steps AS (
+  SELECT list(CAST(list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS BIGINT) ORDER BY n) AS step
+  FROM (SELECT CAST(n AS BIGINT) AS n FROM range(256) AS t(n))
+), words AS (
+  SELECT 'd' AS side, doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM documents
+  UNION ALL
+  SELECT 'b', item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) FROM benchmark
+), hexed AS (SELECT DISTINCT word, hex(encode(word)) AS h FROM words),
+coded AS (
+  SELECT word, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+      list_transform(range(0, length(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT))),
+    lambda c, b: xor(c >> 8, step[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM hexed, steps
+), counts AS (
+  SELECT bucket, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 'b') AS t FROM words JOIN coded USING (word) GROUP BY bucket
+), totals AS (SELECT coalesce(sum(s), 0) AS ss, coalesce(sum(t), 0) AS tt FROM counts),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((CAST(t AS DOUBLE) + 1) * (CAST(ss AS DOUBLE) + 10000) / ((CAST(s AS DOUBLE) + 1) * (CAST(tt AS DOUBLE) + 10000)))) AS BIGINT) AS gain
+  FROM counts, totals
+), weighed AS (
+  SELECT doc_id, count(*) AS n, sum(gain) AS w FROM words JOIN coded USING (word) JOIN gains USING (bucket) WHERE side = 'd' GROUP BY doc_id
+), scored AS (
+  SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_features, CAST(coalesce(w, 0) AS BIGINT) AS weight,
+    CAST(coalesce(w, 0) + floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM documents LEFT JOIN weighed USING (doc_id)
+), placed AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place FROM scored WHERE n_features >= 20),
+drawn AS (SELECT 10 * count(*) // 100 AS most FROM placed)
+SELECT doc_id, n_features AS n_words, n_features, weight, score, CASE WHEN place <= most THEN place END AS rank
+FROM scored LEFT JOIN placed USING (doc_id), drawn
+"""
+
 ORACLE = {
     "op1_substring_dedup": SUBSTRING_DEDUP,
     "op5_decontamination": DECONTAMINATION,
     "op7_top_k": TOP_K,
     "op10_ngram_join": NGRAM_JOIN,
+    "op13_resampling": RESAMPLING,
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .contamination import find_contamination
 from .language_model import score_texts
@@ -11,11 +12,14 @@ from .metric_tree import top_inner
 from .ngram_join import near_duplicates
 from .packing import pack_documents
 from .quality import score_quality
+from .resampling import resample
+from .sharding import shard_documents
 from .shared import table
 from .substring_dedup import remove_repeats
 from .suffix_dedup import remove_long_matches
 from .tokens import count_tokens
 from .toxicity import score_toxicity
+from .whitening import whiten
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -60,6 +64,20 @@ def ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), n=5, threshold=0.8)
 
 
+def whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten(table(spark, folder, "embeddings"), components=8, scale=1024.0, offset=100_000)
+
+
+def sharding(spark: SparkSession, folder: str) -> DataFrame:
+    placed = shard_documents(table(spark, folder, "documents"), shards=8)
+    return placed.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
+def resampling(spark: SparkSession, folder: str) -> DataFrame:
+    docs, benchmark = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return resample(docs, benchmark, least=1, most=1, buckets=10_000, percent=10, min_words=20, seed=2024)
+
+
 QUERIES = {
     "op1_substring_dedup": substring_dedup,
     "op2_token_counts": token_counts,
@@ -71,4 +89,7 @@ QUERIES = {
     "op8_lm_scores": lm_scores,
     "op9_suffix_dedup": suffix_dedup,
     "op10_ngram_join": ngram_join,
+    "op11_whitening": whitening,
+    "op12_sharding": sharding,
+    "op13_resampling": resampling,
 }
