@@ -81,17 +81,20 @@ def each_scope(
 
     * A reading of a scope that was closed by an earlier batch is late.  It goes to ``late``, or, without one, to
       ``transform`` in its own batch like a scope of what came late.
-    * A reading more than ``ahead_ms`` ahead of its arrival (column ``arrival``, a timestamp; without one, the time of
-      its micro-batch) closes nothing.  It goes to ``quarantine`` with its ``problem``, or, without one, waits for
-      its own scope to be over.
+    * A reading more than ``ahead_ms`` ahead of its arrival (column ``arrival``, a timestamp; without one, or where it
+      is null, the time of its micro-batch) closes nothing.  It goes to ``quarantine`` with its ``problem``, or,
+      without one, waits for its own scope to be over.
+    * A reading without a time belongs to no scope.  It goes to ``quarantine``, or, without one, where late ones go.
 
     Open scopes lie as a table in ``held``, a folder every executor reaches, one per stream.  Batches write two slots
     in turn, so that a retried batch finds the state it began with.  Sinks are called for every batch, also with
     no rows, and are exact if they replace the output of the same batch number.
     """
-    arrival = F.col("arrival") if "arrival" in readings.columns else F.current_timestamp()
+    arrived = [F.col("arrival")] if "arrival" in readings.columns else []
+    arrival = F.coalesce(*arrived, F.current_timestamp())
     ahead = F.col("timeMs") > F.unix_millis(arrival) + ahead_ms
-    timed = readings.select(*READING_FIELDS, ahead.alias("ahead"))
+    timed = readings.select(*READING_FIELDS, F.coalesce(ahead, F.lit(False)).alias("ahead"))
+    no_time = F.col("timeMs").isNull()
     state = timed.schema
     end = F.col("timeMs") - F.pmod("timeMs", F.lit(scope_ms)) + scope_ms
 
@@ -107,12 +110,12 @@ def each_scope(
             if number > 0:
                 before = spark.read.schema("closed bigint").parquet(f"{slot(number - 1)}/closed").first().closed
             if quarantine is not None:
-                kept = F.lit("clock ahead").alias("problem")
-                quarantine(rows.filter("ahead").select(*READING_FIELDS, kept), number)
-                rows = rows.filter("NOT ahead")
+                problem = F.when(no_time, "no time").otherwise("clock ahead").alias("problem")
+                quarantine(rows.filter(F.col("ahead") | no_time).select(*READING_FIELDS, problem), number)
+                rows = rows.filter(~F.col("ahead") & ~no_time)
             seen = rows.filter("NOT ahead").agg(F.max("timeMs")).first()[0]
             closed = max((x for x in (before, None if seen is None else seen - delay_ms) if x is not None), default=None)
-            is_late = F.lit(False) if before is None else end <= before
+            is_late = no_time if before is None else no_time | (end <= before)
             is_over = F.lit(False) if closed is None else end <= closed
             waiting = rows.filter(~is_late)
             if number > 0:

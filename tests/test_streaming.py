@@ -122,7 +122,7 @@ def test_every_reading_is_accounted_for(spark, tmp_path, apart):
         return sink
 
     files = lines.line_stream(spark, str(source), max_files=1)
-    arrived = F.timestamp_millis(F.lit(start + 700_000))
+    arrived = F.when(~F.col("value").contains(", b,"), F.timestamp_millis(F.lit(start + 700_000)))  # null for some
     readings = scopes.readings_of(files.withColumn("arrival", arrived))
     others = {"late": into("late"), "quarantine": into("ahead")} if apart else {}
     query = scopes.each_scope(
@@ -142,6 +142,29 @@ def test_every_reading_is_accounted_for(spark, tmp_path, apart):
         assert {r.userID for r in held} == {"c", "z"} and len(flat["over"]) == 807
 
 
+@pytest.mark.parametrize("apart", [True, False])
+def test_readings_without_a_time(spark, tmp_path, apart):
+    schema = "index long, userID string, timeMs long, accX double, accY double, accZ double, vSum double, arrival timestamp"
+    source, held = str(tmp_path / "in"), str(tmp_path / "held")
+    for part in ([(1, "a", 500), (2, "a", None)], [(3, "a", None), (4, "a", 5000)]):
+        rows = [(i, u, t, 0.0, 0.0, 0.0, 0.0, None) for i, u, t in part]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    out = {"over": [], "late": [], "quarantine": []}
+
+    def into(name):
+        return lambda df, n: out[name].extend((r["index"], r.asDict().get("problem")) for r in df.collect())
+
+    others = {name: into(name) for name in ("late", "quarantine")} if apart else {}
+    query = scopes.each_scope(stream, into("over"), str(tmp_path / "c"), held, None, None, 1000, **others).start()
+    assert query.awaitTermination(120)
+    assert [r["index"] for r in spark.read.parquet(f"{held}/slot=1/rows").collect()] == [4]
+    if apart:
+        assert out == {"over": [(1, None)], "late": [], "quarantine": [(2, "no time"), (3, "no time")]}
+    else:
+        assert sorted(out["over"]) == [(1, None), (2, None), (3, None)]
+
+
 def test_batch_as_scope_and_restart(spark, rows, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
