@@ -45,7 +45,8 @@ def scatter(x: np.ndarray) -> np.ndarray:
         return (f.T @ f).astype(np.int64).astype(object)
     parts, rest = [], x.copy()
     while rest.any():
-        low = rest & ((1 << PART) - 1)
+        last = int(np.abs(rest).max()) < 1 << PART  # also ends negative values, whose shifts stay at -1
+        low = rest if last else rest & ((1 << PART) - 1)
         parts.append(low.astype(np.float64))
         rest = (rest - low) >> PART
     total = np.zeros((d, d), object)
@@ -168,7 +169,7 @@ def whiten(
 ) -> DataFrame:
     """Each vector on the leading principal components of all, scaled to unit variance.
 
-    Entries c become integers x = floor(scale * c) + offset. Returns per row and component (from 1): ``key``,
+    Entries c become integers x = floor(scale * c) + offset; what is returned does not depend on ``offset``. Returns per row and component (from 1): ``key``,
     ``component``, ``n`` (vectors), ``deviation`` (sum over dimensions of (n * x - sum)^2; null beyond 64 bits),
     ``whitened``, ``explained`` (share of the variance), ``identity_error`` (one value, see there). Sums, products and the
     characteristic polynomial are exact; eigenvalues of zero give no component. Rows whose vector is null or holds
