@@ -1,7 +1,9 @@
 """Plain versions of the corpus operators for small tables."""
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter
 
 SPACE = rb"[^\x20\x09-\x0D]+"
@@ -81,3 +83,39 @@ def near_duplicates(rows, n, threshold):
     for _ in rows:
         label = [min([label[i], *(label[j] for j in linked[i])]) for i in range(len(rows))]
     return [(rows[i][0], label.count(label[i]), len(linked[i])) for i in range(len(rows))]
+
+
+def resampling(rows, targets, least, most, buckets, percent, min_words, seed):
+    """(key, words, features, weight, score, rank) of each row, counted with dictionaries."""
+
+    def grams(text):
+        w = re.findall(ALNUM, raw(text).translate(LOWER))
+        return len(w), [zlib.crc32(b" ".join(w[i : i + n])) % buckets for n in range(least, most + 1) for i in range(len(w) - n + 1)]
+
+    found = [grams(t) for _, t in rows]
+    source = Counter(b for _, g in found for b in g)
+    target = Counter(b for _, t in targets for b in grams(t)[1])
+    s, t = float(sum(source.values())), float(sum(target.values()))
+    gain = lambda b: math.floor(1000 * math.log((target[b] + 1.0) * (s + buckets) / ((source[b] + 1.0) * (t + buckets))))
+    out = []
+    for (key, _), (n, g) in zip(rows, found, strict=True):
+        h = int(hashlib.sha256(f"{seed}:{'' if key is None else key}".encode()).hexdigest()[:8], 16)
+        weight = sum(gain(b) for b in g)
+        out.append([key, n, len(g), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), None])
+    able = sorted((r for r in out if r[1] >= min_words), key=lambda r: (-r[4], r[0] is None, r[0] or 0))
+    for rank, r in enumerate(able[: percent * len(able) // 100], 1):
+        r[5] = rank
+    return [tuple(r) for r in out]
+
+
+def best_fit(sizes, capacity, bins):
+    """Bin of each group of falling sizes, one by one into the fitting bin with the least room; None if one fits nowhere."""
+    room, out = [capacity] * bins, []
+    for size in sizes:
+        fits = [i for i in range(bins) if room[i] >= size]
+        if not fits:
+            return None
+        at = min(fits, key=lambda i: (room[i], i))
+        room[at] -= size
+        out.append(at)
+    return out
