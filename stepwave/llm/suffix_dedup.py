@@ -85,7 +85,7 @@ def super_windows(data: np.ndarray, begins: np.ndarray, length: int, gram: int)
         sums = np.zeros(len(piece) + 1, np.uint64)
         np.cumsum(BYTE_VALUES[piece] * powers(BASE, len(piece)), out=sums[1:])
         content = mixed((sums[start + size + length - 1] - sums[start]) * powers(inverse(BASE), len(piece))[start])
-        found.append((start + at, size, hashes[place[start]], content))
+        found.append((start + at, size, mixed(hashes[place[start]]), content))  # minima crowd at the low end
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
@@ -298,7 +298,7 @@ def remove_long_matches(
 
 
 def chosen_grams(data: np.ndarray, start: np.ndarray, count: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """The smallest k-gram's hash of each of these super-windows, which is that of its first window."""
+    """The mixed hash of the smallest k-gram of each of these super-windows, which is that of its first window."""
     out = np.zeros(len(start), np.uint64)
     for at in range(0, len(start), 8192):
         s = start[at : at + 8192]
@@ -308,7 +308,7 @@ def chosen_grams(data: np.ndarray, start: np.ndarray, count: np.ndarray, length:
         grid[: len(hashes)] = hashes
         grid = grid.reshape(-1, length)[:, : length - gram + 1]
         least = np.argmin((grid & ~PLACE) | np.arange(grid.shape[1], dtype=np.uint64), axis=1)
-        out[at : at + 8192] = grid[np.arange(len(s)), least]
+        out[at : at + 8192] = mixed(grid[np.arange(len(s)), least])
     return start, count, out, out
 
 
