@@ -40,10 +40,11 @@ def logistic(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def learnt(positive: list[bytes], unlabelled: list[bytes], prior: float, turns: int = 300, rate: float = 0.05, sparse: float = 0.45) -> tuple:
+def learnt(positive: list[bytes], unlabelled: list[bytes], prior: float, turns: int = 300, rate: float = 0.05, sparse: float = 0.45, least_documents: int = 5) -> tuple:
     """Weights and bias that minimise the non-negative risk: prior * E_P[l(+)] + max(0, E_U[l(-)] - prior * E_P[l(-)]).
 
-    Weights shrink towards zero, the more the fewer positive examples there are.
+    Weights shrink towards zero, the more the fewer positive examples there are. Words and pairs in fewer than
+    ``least_documents`` of the examples have none.
     """
     parts, index, first = positive + unlabelled, [], [np.zeros(1, np.int64)]
     for at in range(0, len(parts), 256):
@@ -52,7 +53,7 @@ def learnt(positive: list[bytes], unlabelled: list[bytes], prior: float, turns:
         index.append(i)
         first.append(f[1:] + first[-1][-1])
     index, first = np.concatenate(index), np.concatenate(first)
-    seen = np.bincount(index, minlength=1 << BITS) >= 5
+    seen = np.bincount(index, minlength=1 << BITS) >= least_documents
     owner = np.repeat(np.arange(len(parts)), np.diff(first))[seen[index]]
     column = (np.cumsum(seen) - 1)[index[seen[index]]]
     first = np.searchsorted(owner, np.arange(len(parts) + 1))
@@ -84,12 +85,14 @@ def learnt(positive: list[bytes], unlabelled: list[bytes], prior: float, turns:
 def score_toxicity(
     docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int = 4, held: int = 2, threshold: float = 0.3,
     key: str = "doc_id", text: str = "text", most_positive: int = 2000, most_unlabelled: int = 6000,
+    least_documents: int | None = None,
 ) -> DataFrame:
     """Probability of toxicity for every whole text: ``key``, ``held_out``, ``score``, ``predicted`` (score >= threshold).
 
-    Learns from at most ``most_positive`` confirmed toxic documents and ``most_unlabelled`` documents without a
-    label (any, if all are labelled), none held out; the class prior is the share of toxic labels learnt from. Only
-    the text is scored. A null text counts as empty; repeated rows are scored alike; a null key is not held out;
+    Learns from at most ``most_positive`` confirmed toxic documents and ``most_unlabelled`` of all documents, taken as
+    unlabelled whether or not they have a label, none held out; the class prior is the share of toxic labels learnt
+    from. Words in fewer than ``least_documents`` of these carry no weight (None: one for twenty toxic ones, from 2 to
+    5). Only the text is scored. A null text counts as empty; repeated rows are scored alike; a null key is not held out;
     contradicting or null labels are left out; without toxic examples every score is 0. An empty table gives an
     empty one.
     """
@@ -101,15 +104,14 @@ def score_toxicity(
     if toxic:
         prior = min(max(toxic / total, 0.001), 0.9)
         keys = docs.select(F.col(f"`{key}`").alias("k")).filter(F.col("k").isNotNull() & (remainder(F.col("k"), modulus) != held)).distinct()
-        free = first_by_hash(keys.join(known, "k", "left_anti"), most_unlabelled)
-        if free.isEmpty():
-            free = first_by_hash(keys, most_unlabelled)
+        free = first_by_hash(keys, most_unlabelled)
         sample = first_by_hash(usable.filter("y = 1"), most_positive).unionByName(free.withColumn("y", F.lit(-1)))
 
         def learn(rows: pd.DataFrame) -> pd.DataFrame:
             rows = rows.sort_values(["k", "t"])
             groups = [[t.encode() for t in rows["t"][rows["y"] == y]] for y in (1, -1)]
-            weights, bias = learnt(*groups, prior)
+            least = min(max(len(groups[0]) // 20, 2), 5) if least_documents is None else least_documents
+            weights, bias = learnt(*groups, prior, least_documents=least)
             buffer = io.BytesIO()
             np.savez_compressed(buffer, weights=weights, bias=bias)
             return pd.DataFrame({"body": [buffer.getvalue()]})
