@@ -8,12 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.vectors import from_text, norm
-from ..operators import feed, peaks, resample, scoring, segments, sessions
+from ..operators import feed, models, peaks, resample, scoring, segments, sessions
 from ..operators.ordered import in_order, with_context
 from ..schema import AXES, CONFIDENCE_FIELD, EVENT_CONNECT, EVENT_POINTS, EVENT_STOP, POINTS_FIELD, READING_FIELDS
+from ..session import cut, new_folder
 from ..sinks.writers import to_line, vector_texts
 from ..sources import envelopes, lines, tables
-from . import pipeline
+from . import pipeline, replay
 
 DAY_MS = 86_400_000
 SCOPE_MS = 10 * DAY_MS  # The supplied events are hours apart, so scopes are days instead of seconds.
@@ -21,6 +22,7 @@ FEED_GAP_MS = 6 * 3_600_000
 FEED_NTH = 25
 FEED_SINCE_MS = 1_705_363_200_000
 MESSAGE_POINTS = 20
+MODEL_SHARPNESS = 0.001
 BLOCK_EVENTS = 400
 KEYS = ("userID",)
 
@@ -298,6 +300,19 @@ def score_names(spark, d):
     return rows.select("actual_user_id", "segment_no", "inferred_user_id", "inferred_users_name", "known")
 
 
+def score_model(spark, d):
+    """A model file made from the centroids, read back and run on the executors."""
+    vectors = cut(pipeline.sample_vectors(tables.readings(spark, d)))
+    centers = scoring.centroids(scoring.points_of(vectors, KEYS), classes_of(spark, d))
+    path = new_folder(spark, "model")
+    models.write_channel_model(centers, path, MODEL_SHARPNESS)
+    load = models.model_file(spark, f"{path}/part-*", models.open_channel_model)
+    scored = scoring.with_choice(scoring.score_with(vectors, load))
+    return scored.select(
+        "userID", "segment_no", "inferred_user_id", rounded(F.col(CONFIDENCE_FIELD)).alias(CONFIDENCE_FIELD)
+    )
+
+
 def inference_messages(spark: SparkSession, folder: str) -> DataFrame:
     """Inference records as JSON text with the event's id and time beside them."""
     events = tables.table(spark, folder, "events").filter(F.col("event_type") == "view")
@@ -453,6 +468,19 @@ def users_sorted(spark, d):
     return feed.users_sorted(tables.readings(spark, d))
 
 
+# Streams
+
+
+def stream_scopes(spark, d):
+    """Segments of every scope by a stream over lines that is stopped and started again, with state per user."""
+
+    def transform(batch):
+        rows = segments.segments(peaks.by_user(batch, SCOPE_MS))
+        return rows.select("scope", "userID", "segment_no", "index", "timeMs")
+
+    return replay.scoped_replay(tables.readings(spark, d), transform, SCOPE_MS)
+
+
 QUERIES: dict[str, Query] = {
     "parse_readings_csv": parse_readings_csv,
     "parse_quarantine": parse_quarantine,
@@ -485,6 +513,7 @@ QUERIES: dict[str, Query] = {
     "class_centroids": class_centroids,
     "score_centroid": score_centroid,
     "score_names": score_names,
+    "score_model": score_model,
     "inference_names": inference_names,
     "inference_accepted": inference_accepted,
     "inference_rejected": inference_rejected,
@@ -506,6 +535,7 @@ QUERIES: dict[str, Query] = {
     "decimate_nth": decimate_nth,
     "throttle_gap": throttle_gap,
     "users_sorted": users_sorted,
+    "stream_scopes": stream_scopes,
 }
 
 

@@ -134,6 +134,21 @@ best AS (
   SELECT "userID", segment_no, class AS inferred_user_id, pc AS confidency FROM pr
   QUALIFY row_number() OVER (PARTITION BY "userID", segment_no ORDER BY pc DESC, class) = 1)"""
 
+MODEL = CENTERS + """,
+cm AS (SELECT class, avg(cx) AS mx, avg(cy) AS my, avg(cz) AS mz FROM centers GROUP BY class),
+sm AS (
+  SELECT "userID", segment_no, avg(CAST(CAST(round("accX", 8) AS FLOAT) AS DOUBLE)) AS x,
+         avg(CAST(CAST(round("accY", 8) AS FLOAT) AS DOUBLE)) AS y,
+         avg(CAST(CAST(round("accZ", 8) AS FLOAT) AS DOUBLE)) AS z FROM f GROUP BY 1, 2),
+lo AS (
+  SELECT "userID", segment_no, class,
+         0.001 * (2 * (x * mx + y * my + z * mz) - (mx * mx + my * my + mz * mz)) AS logit FROM sm, cm),
+we AS (SELECT *, exp(logit - max(logit) OVER (PARTITION BY "userID", segment_no)) AS e FROM lo),
+mp AS (SELECT *, e / sum(e) OVER (PARTITION BY "userID", segment_no) AS pc FROM we),
+chosen AS (
+  SELECT "userID", segment_no, class AS inferred_user_id, pc AS confidency FROM mp
+  QUALIFY row_number() OVER (PARTITION BY "userID", segment_no ORDER BY pc DESC, class) = 1)"""
+
 AXES3 = f"""{r6('"accX"')} AS "accX", {r6('"accY"')} AS "accY", {r6('"accZ"')} AS "accZ\""""
 READING_OUT = f""" "index", "userID", "timeMs", {AXES3}, {r6('"vSum"')} AS "vSum" """
 FEED_OUT = f""" "userID", "index", {r6('"vSum"')} AS "vSum", "timeMs" """
@@ -290,6 +305,9 @@ ORACLE: dict[str, str] = {
         grid(),
         SCORES,
     ),
+    "score_model": with_readings(
+        f' SELECT "userID", segment_no, inferred_user_id, {r6("confidency")} AS confidency FROM chosen', grid(), MODEL
+    ),
     "inference_names": f"""
         SELECT event_id, {r6('value / 100')} AS confidency,
                CAST(json_extract_string(props, '$.k') AS INTEGER) AS inferred_user_id,
@@ -385,4 +403,7 @@ ORACLE: dict[str, str] = {
           SELECT j."userID", j.next_rn FROM sent JOIN j USING ("userID", rn) WHERE j.next_rn IS NOT NULL)""",
     ),
     "users_sorted": 'SELECT CAST(user_id AS VARCHAR) AS "userID", count(*) AS n_readings FROM events GROUP BY 1',
+    "stream_scopes": with_readings(
+        ' SELECT scope, "userID", segment_no, "index", "timeMs" FROM g', segment_rows(1000, 10 * DAY_MS)
+    ),
 }
