@@ -379,8 +379,8 @@ def session_messages(spark, d):
     return sessions.session_messages(tables.lifecycle(spark, d))
 
 
-def connection_blocks(spark: SparkSession, d: str) -> DataFrame:
-    """Two connections per user; all readings of a block of events reach one in a single message, beside a
+def block_messages(spark: SparkSession, d: str) -> DataFrame:
+    """Message texts: two connections per user; all readings of a block of events reach one in a single message, beside a
     connect, a stop or another message of the same arrival."""
     kind = tables.event_kind()
     rows = tables.readings(spark, d, kind).withColumns(
@@ -393,10 +393,13 @@ def connection_blocks(spark: SparkSession, d: str) -> DataFrame:
     event = F.when(F.col("kind") == "point", EVENT_POINTS).otherwise(F.col("kind"))
     points = F.transform(F.array_sort(F.collect_list(F.struct("index", "line"))), lambda p: p["line"])
     data = F.struct("uuid", F.when(F.col("kind") == "point", points).alias(POINTS_FIELD))
-    packed = rows.groupBy("uuid", "arrival", "kind").agg(
+    return rows.groupBy("uuid", "arrival", "kind").agg(
         F.to_json(F.struct(event.alias("event"), data.alias("data"))).alias("value")
     )
-    return envelopes.decoded(packed.select("arrival", "value"))
+
+
+def connection_blocks(spark: SparkSession, d: str) -> DataFrame:
+    return envelopes.decoded(block_messages(spark, d).select("arrival", "value"))
 
 
 def connection_messages(spark, d):
@@ -481,6 +484,11 @@ def stream_scopes(spark, d):
     return replay.scoped_replay(tables.readings(spark, d), transform, SCOPE_MS)
 
 
+def stream_sessions(spark, d):
+    """The rows of ``session_export_rows`` by a stream of messages, each in the batch of its stop."""
+    return _rounded_axes(replay.sessions_replay(block_messages(spark, d)), "vSum")
+
+
 QUERIES: dict[str, Query] = {
     "parse_readings_csv": parse_readings_csv,
     "parse_quarantine": parse_quarantine,
@@ -536,6 +544,7 @@ QUERIES: dict[str, Query] = {
     "throttle_gap": throttle_gap,
     "users_sorted": users_sorted,
     "stream_scopes": stream_scopes,
+    "stream_sessions": stream_sessions,
 }
 
 

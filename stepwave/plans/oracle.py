@@ -407,3 +407,4 @@ ORACLE: dict[str, str] = {
         ' SELECT scope, "userID", segment_no, "index", "timeMs" FROM g', segment_rows(1000, 10 * DAY_MS)
     ),
 }
+ORACLE["stream_sessions"] = ORACLE["session_export_rows"]

@@ -7,23 +7,23 @@ from pyspark.sql import functions as F
 
 from ..session import new_folder, setting
 from ..sinks.writers import to_line
-from ..sources import lines
-from ..streaming import keyed_scopes, scopes
+from ..sources import envelopes, lines
+from ..streaming import closed_sessions, keyed_scopes, scopes
 
 STEPS = 3
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def steps_of(readings: DataFrame, steps: int) -> list[DataFrame]:
-    """The readings cut into ranges of time of about equal size; those without a time are in the first."""
-    cuts = readings.agg(F.percentile_approx("timeMs", [i / steps for i in range(1, steps)])).first()[0] or []
+def steps_of(rows: DataFrame, steps: int, time: str = "timeMs") -> list[DataFrame]:
+    """The rows cut into ranges of time of about equal size; those without a time are in the first."""
+    cuts = rows.agg(F.percentile_approx(time, [i / steps for i in range(1, steps)])).first()[0] or []
     borders = [None, *sorted(set(cuts)), None]
     ranges = []
     for low, high in zip(borders, borders[1:]):
-        kept = F.col("timeMs").isNull() if low is None else F.lit(False)
-        after = F.lit(True) if low is None else F.col("timeMs") > low
-        kept = kept | (after & (F.lit(True) if high is None else F.col("timeMs") <= high))
-        ranges.append(readings.filter(kept))
+        kept = F.col(time).isNull() if low is None else F.lit(False)
+        after = F.lit(True) if low is None else F.col(time) > low
+        kept = kept | (after & (F.lit(True) if high is None else F.col(time) <= high))
+        ranges.append(rows.filter(kept))
     return ranges
 
 
@@ -50,3 +50,23 @@ def scoped_replay(readings: DataFrame, transform: scopes.Transform, scope_ms: in
     left = transform(keyed_scopes.open_readings(spark, checkpoint))
     done = spark.read.schema(left.schema).parquet(f"{out}/batch=*")
     return done.select(*left.columns).unionByName(left)
+
+
+def sessions_replay(messages: DataFrame, steps: int = STEPS) -> DataFrame:
+    """Readings of closed sessions from message texts (``uuid, arrival, value``), by a stream restarted with each step."""
+    spark = messages.sparkSession
+    root = new_folder(spark, "replay")
+    landed, checkpoint, out = f"{root}/in", f"{root}/checkpoint", f"{root}/out"
+    schema = messages.select("arrival", "value").schema
+
+    def sink(rows: DataFrame, number: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    for number, step in enumerate(steps_of(messages, steps, "arrival")):
+        step.repartition("uuid").select("arrival", "value").write.parquet(f"{landed}/step={number}")
+        arrived = spark.readStream.schema(schema).parquet(f"{landed}/step=*").select("arrival", "value")
+        rows = closed_sessions.session_rows(envelopes.decoded(arrived))
+        with setting(spark, "spark.sql.streaming.stateStore.providerClass", ROCKSDB):
+            closed_sessions.each_closed_session(rows, sink, checkpoint, None).start().awaitTermination()
+    shape = closed_sessions.session_readings(spark.createDataFrame([], closed_sessions.OUTPUT))
+    return spark.read.schema(shape.schema).parquet(f"{out}/batch=*").select(*shape.columns)

@@ -42,7 +42,8 @@ class Scopes(StatefulProcessor):
         self.parts = handle.getMapState("parts", PART_KEY, PART)
 
     def _shown(self, user: str, rows: pd.DataFrame, kind: str) -> pd.DataFrame:
-        return rows.assign(userID=user, kind=kind)[[*READING_FIELDS, "kind"]]
+        shown = rows.assign(userID=user, kind=kind)[[*READING_FIELDS, "kind"]]
+        return shown.astype({"userID": object, "kind": object})
 
     def _leave(self, user: str, scope: int, parts: int) -> Iterator[pd.DataFrame]:
         for part in range(parts):
