@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 
 SEGMENT = 1 << 20
+#: Longer words are hashed by BLAKE2: sums modulo 2^64 are equal for certain pairs of words of 1,024 bytes.
+LONG_WORD = 64
 _RNG = np.random.default_rng(20240229)
 BYTE_VALUES = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -57,10 +61,12 @@ def words(data: np.ndarray, part_of_word: np.ndarray) -> tuple[np.ndarray, np.nd
             values = BYTE_VALUES[piece]
             values *= powers(BASE, len(piece))
             values[~inside] = 0
-            h = np.add.reduceat(values, b) * powers(inverse(BASE), len(piece))[b]
+            h = mixed(np.add.reduceat(values, b) * powers(inverse(BASE), len(piece))[b])
+            for i in np.flatnonzero(e - b > LONG_WORD):
+                h[i] = int.from_bytes(blake2b(piece[b[i] : e[i]].tobytes(), digest_size=8).digest(), "little")
             begins.append(b + at)
             ends.append(e + at)
-            hashes.append(mixed(h))
+            hashes.append(h)
         at = stop
     if not begins:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
