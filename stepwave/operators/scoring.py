@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from .joins import join_dimension
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MAX_CLASSES = 1_000
+MODEL_ROWS = 1_024
 TENSOR_CHANNELS = len(AXES) + ZERO_CHANNELS
 
 
@@ -38,19 +40,21 @@ def score_with(samples: DataFrame, load: Callable[[], Callable[[np.ndarray], np.
     """Add ``probabilities`` from a model.
 
     ``load`` runs once per Python worker and returns ``predict``, which maps a float32 batch of shape
-    ``(n, 128, 6)`` to ``(n, classes)``.  Ship model files with ``spark.addArtifact`` or a broadcast.
+    ``(n, 128, 6)`` to ``(n, classes)``, with up to ``MODEL_ROWS`` samples at a time, whatever the Arrow batch holds.  Ship model files with ``spark.addArtifact`` or a broadcast.
     """
 
-    @F.pandas_udf("array<double>")
-    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<double>")
+    def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = load()
         for batch in batches:
-            if batch.empty:
-                yield pd.Series([], dtype=object)
-                continue
-            stacked = np.stack([np.stack(points) for points in batch]).astype(np.float32)
-            scores = model(stacked.reshape(-1, GRID_POINTS, TENSOR_CHANNELS))
-            yield pd.Series(list(np.asarray(scores, dtype=np.float64)))
+            scored = [pa.array([], pa.list_(pa.float64()))]
+            for at in range(0, len(batch), MODEL_ROWS):
+                piece = batch.slice(at, MODEL_ROWS)
+                points = piece.flatten().flatten().to_numpy(zero_copy_only=False).astype(np.float32)
+                scores = np.asarray(model(points.reshape(len(piece), GRID_POINTS, TENSOR_CHANNELS)), np.float64)
+                ends = np.arange(len(piece) + 1, dtype=np.int32) * scores.shape[1]
+                scored.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(scores.ravel())))
+            yield pa.concat_arrays(scored)
 
     return with_tensor(samples).withColumn("probabilities", predict("tensor")).drop("tensor")
 

@@ -42,6 +42,21 @@ def test_opened_once_for_each_content(spark, tmp_path):
         assert files <= len(list((tmp_path / "opened").iterdir())) <= 2 * files
 
 
+def test_a_model_gets_bounded_batches(spark):
+    """Memory follows ``MODEL_ROWS`` and not the rows of an Arrow batch; rows keep their order and values."""
+    most, n = scoring.MODEL_ROWS, 2 * scoring.MODEL_ROWS + 7
+
+    def load():
+        def predict(batch):
+            assert len(batch) <= most and batch.dtype == np.float32
+            return np.stack([batch[:, 0, 0], batch[:, -1, 2], batch[:, 5, 4]], axis=1)
+
+        return predict
+
+    scored = scoring.score_with(vectors(spark, n), load).select("id", "probabilities").collect()
+    assert {r.id: list(r.probabilities) for r in scored} == {i: [i, i + 2, 0] for i in range(n)}
+
+
 def test_one_file_of_checked_size(spark, tmp_path):
     for name in "ab":
         (tmp_path / name).write_text("[]" * 10)
