@@ -98,3 +98,18 @@ def test_incomplete_rows(spark, tmp_path):
     assert sorted((r["index"] is None, r["kind"]) for r in spark.table("incomplete").collect()) == [
         (False, "incomplete"), (False, "incomplete"), (True, "incomplete")]
     assert keys(keyed_scopes.open_readings(spark, str(tmp_path / "checkpoint"))) == [("a", 0)]
+
+
+def test_many_users_share_few_states(spark, tmp_path):
+    """Users of one group whose clocks differ: those still open stay in the parts that others leave."""
+    rows = [(i, f"u{i % 90}", 1_000 + i, 1.0, 1.0, 1.0, 1.0) for i in range(270)]
+    rows += [(270 + i, f"u{i}", 70_000, 1.0, 1.0, 1.0, 1.0) for i in range(0, 90, 2)]
+    spark.createDataFrame(rows, READING).write.parquet(str(tmp_path / "in"))
+    stream = keyed_scopes.scoped(spark.readStream.schema(READING).parquet(str(tmp_path / "in")), SCOPE, groups=3)
+    checkpoint = str(tmp_path / "checkpoint")
+    query = stream.writeStream.format("memory").queryName("shared").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    assert query.awaitTermination(300)
+    assert spark.read.format("statestore").option("stateVarName", "clock").load(checkpoint).count() == 3
+    over = [(f"u{i % 90}", i) for i in range(270) if i % 2 == 0]
+    assert keys(spark.table("shared").filter("kind = 'over'")) == sorted(over)
+    assert keys(keyed_scopes.open_readings(spark, checkpoint)) == sorted({(r[1], r[0]) for r in rows} - set(over))
