@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import new_folder, setting
+from ..session import cut, new_folder, setting
 from ..sinks.writers import to_line
 from ..sources import envelopes, lines
 from ..streaming import closed_sessions, keyed_scopes, scopes
@@ -55,6 +55,7 @@ def scoped_replay(readings: DataFrame, transform: scopes.Transform, scope_ms: in
 def sessions_replay(messages: DataFrame, steps: int = STEPS) -> DataFrame:
     """Readings of closed sessions from message texts (``uuid, arrival, value``), by a stream restarted with each step."""
     spark = messages.sparkSession
+    messages = cut(messages)  # read once for the borders of the steps and once for each step
     root = new_folder(spark, "replay")
     landed, checkpoint, out = f"{root}/in", f"{root}/checkpoint", f"{root}/out"
     schema = messages.select("arrival", "value").schema

@@ -106,3 +106,19 @@ def test_silent_connections_end(spark, tmp_path):
     finally:
         query.stop()
     assert sorted((r.uuid, r.session_no, r.place, r.closed) for r in shown) == [("a", 0, 1, False), ("a", 0, 2, False)]
+
+
+def test_many_connections_share_few_states(spark, tmp_path):
+    """Connections of one group, some of which end: the others stay in the parts that these leave."""
+    names = [f"c{i}" for i in range(60)]
+    rows = chatter(8, names, 400)
+    for number in range(2):
+        landed(tmp_path, number, rows[number * 200 : number * 200 + 200])
+    files = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
+    stream = closed_sessions.session_rows(envelopes.decoded(files), message="message", groups=3)
+    to = lambda df, n: df.write.mode("overwrite").parquet(f"{tmp_path}/out/batch={n}")
+    checkpoint = str(tmp_path / "checkpoint")
+    assert closed_sessions.each_closed_session(stream, to, checkpoint, None).start().awaitTermination(300)
+    assert spark.read.format("statestore").option("stateVarName", "entry").load(checkpoint).count() == 3
+    expected = sessions.closed_readings(envelopes.decoded(spark.createDataFrame(rows, SCHEMA)), message="message")
+    assert found(spark.read.parquet(str(tmp_path / "out"))) == found(expected) != []
