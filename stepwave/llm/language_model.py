@@ -271,7 +271,7 @@ def score_texts(
 
     A key is held out if its crc32 as text modulo ``modulus`` is ``held``; a null key is not. Tokens are
     the words between white space, A-Z lower-cased, and one end; contexts have up to ``order`` - 1 of them, and tables
-    are drawn in ``sweeps`` sweeps. Returns ``key``, ``held_out``, ``n_tokens``, ``n_known`` (tokens seen in training),
+    are drawn in ``sweeps`` sweeps: one alone draws from guesses, and only further ones from a state drawn before. Returns ``key``, ``held_out``, ``n_tokens``, ``n_known`` (tokens seen in training),
     ``train_tokens``, ``base_score`` (add-one unigrams), ``score`` and ``perplexity``. A null text counts as empty;
     repeated rows count again; other columns do not matter. Without training tokens every word is the unknown one, with
     probability 1. An empty table gives an empty one.

@@ -325,6 +325,19 @@ def test_language_model_sweeps(spark, order, sweeps):
         assert sum(once[k].score for k in held) > sum(two[k].score for k in held) + 0.2 * len(held)
 
 
+def test_the_query_learns_long_contexts_in_several_sweeps(spark, tmp_path):
+    from stepwave.llm.queries import lm_scores
+
+    rng = random.Random(14)
+    rows = [(i, f"{first} a {first}{first} end{rng.randint(0, 40)}") for i in range(400) for first in [rng.choice("xyz")]]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    once = {r.doc_id: r.score for r in score_texts(frame(spark, rows)).collect() if r.held_out}
+    single = {r.doc_id: r.score for r in score_texts(frame(spark, rows), order=3).collect() if r.held_out}
+    found = {r.doc_id: r.score for r in lm_scores(spark, str(tmp_path)).collect() if r.held_out}
+    assert sum(found.values()) > sum(once.values()) + 0.2 * len(once)  # the word two back decides
+    assert any(found[k] != single[k] for k in found)
+
+
 @pytest.mark.parametrize(
     "operator",
     [
