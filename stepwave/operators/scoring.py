@@ -53,7 +53,7 @@ def score_with(samples: DataFrame, load: Callable[[], Callable[[np.ndarray], np.
                 points = piece.flatten().flatten().to_numpy(zero_copy_only=False).astype(np.float32)
                 scores = np.asarray(model(points.reshape(len(piece), GRID_POINTS, TENSOR_CHANNELS)), np.float64)
                 ends = np.arange(len(piece) + 1, dtype=np.int32) * scores.shape[1]
-                scored.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(scores.ravel())))
+                scored.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(scores.ravel(), from_pandas=True)))  # NaN is null
             yield pa.concat_arrays(scored)
 
     return with_tensor(samples).withColumn("probabilities", predict("tensor")).drop("tensor")

@@ -57,6 +57,14 @@ def test_a_model_gets_bounded_batches(spark):
     assert {r.id: list(r.probabilities) for r in scored} == {i: [i, i + 2, 0] for i in range(n)}
 
 
+def test_samples_without_a_value_have_no_choice(spark):
+    gap = F.when(F.col("id") != 1, F.col("id").cast("double"))
+    rows = spark.range(3, numPartitions=1).select("id", *(F.array([gap] * GRID_POINTS).alias(a) for a in AXES))
+    share = lambda batch: np.stack([batch[:, 0, 0], batch[:, 0, 0] - 1], axis=1)
+    scored = scoring.with_choice(scoring.score_with(rows, lambda: share)).collect()
+    assert {r.id: (list(r.probabilities), r.inferred_user_id) for r in scored} == {0: ([0, -1], 1), 1: ([None, None], None), 2: ([2, 1], 1)}
+
+
 def test_one_file_of_checked_size(spark, tmp_path):
     for name in "ab":
         (tmp_path / name).write_text("[]" * 10)
