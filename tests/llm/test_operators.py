@@ -1,6 +1,8 @@
 import random
 import zlib
 from collections import defaultdict
+from pathlib import Path
+from urllib.parse import urlparse
 
 import brute
 import numpy as np
@@ -16,6 +18,7 @@ from stepwave.llm.packing import pack_documents, pack_sizes
 from stepwave.llm.quality import keep_good, score_quality
 from stepwave.llm.queries import VOCABULARY
 from stepwave.llm.run_index import RunIndex, suffix_order
+from stepwave.llm.shared import shared_folder
 from stepwave.llm.substring_dedup import COVERS, remove_repeats
 from stepwave.llm.suffix_dedup import remove_long_matches
 from stepwave.llm.tokens import count_tokens
@@ -338,6 +341,33 @@ def test_the_query_learns_long_contexts_in_several_sweeps(spark, tmp_path):
     assert any(found[k] != single[k] for k in found)
 
 
+def written(spark, run):
+    """Bytes of the tables that ``run`` leaves in the shared folder."""
+    folder = Path(urlparse(shared_folder(spark)).path)
+    before = set(folder.rglob("*.parquet"))
+    run()
+    return sum(f.stat().st_size for f in set(folder.rglob("*.parquet")) - before)
+
+
+def test_language_model_sweeps_leave_little_on_disk(spark):
+    rng = random.Random(15)
+    docs = frame(spark, [(i, " ".join(str(int(rng.paretovariate(0.6))) for _ in range(600))) for i in range(300)])
+    once = written(spark, lambda: score_texts(docs, order=3).count())
+    more = written(spark, lambda: score_texts(docs, order=3, sweeps=3).count())
+    assert more < 1.4 * once  # pairs learnt once are no part of a sweep
+
+
+def test_language_model_scores_copies_in_other_packs_alike(spark):
+    rng = random.Random(16)
+    texts = [" ".join(rng.choice("abcdefgh") * rng.choice([1, 2, 9]) for _ in range(rng.randint(0, 12))) for _ in range(150)]
+    rows = [(1000 * part + i, text) for part in range(3) for i, text in enumerate(texts)]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 3), "doc_id long, text string")  # later packs own no pair
+    found = {r.doc_id: r.score for r in score_texts(docs, order=3, sweeps=2).collect()}
+    assert sorted(found) == [k for k, _ in rows]
+    for i in range(150):
+        assert found[i] == pytest.approx(found[1000 + i]) == pytest.approx(found[2000 + i])
+
+
 @pytest.mark.parametrize(
     "operator",
     [
